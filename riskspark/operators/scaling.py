@@ -46,12 +46,12 @@ def apply_scaler(df: DataFrame, scaler: Scaler) -> DataFrame:
 
 
 def standardise(df: DataFrame, features: Sequence[str], train: DataFrame) -> DataFrame:
-    """Standardise in one plan: the one row of training moments is broadcast."""
+    """Standardise in one plan: the training moments are a scalar subquery, not a join."""
     stats = moments(train, features)
-    joined = df.crossJoin(F.broadcast(stats))
-    return (joined.withColumns({
-        f: scaled(f, F.col(f"{f}_mean"), F.coalesce(f"{f}_std", F.lit(0.0)))
-        for f in features}).drop(*stats.columns))
+    one = stats.select(F.struct(*stats.columns)).scalar()
+    return (df.withColumn("_moments", one).withColumns({
+        f: scaled(f, F.col(f"_moments.{f}_mean"), F.coalesce(f"_moments.{f}_std", F.lit(0.0)))
+        for f in features}).drop("_moments"))
 
 
 def scaler_stages(features: Sequence[str], out: str = "features",
