@@ -49,8 +49,8 @@ def null_counts_long(spark, sf_dir):
 
 
 @check("""SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (
-  SELECT count(*) AS n FROM (SELECT l_quantity, NULLIF(l_tax, 0.0) AS l_tax, l_discount,
-                                    l_returnflag FROM lineitem) GROUP BY ALL)""")
+  SELECT count(*) AS n FROM lineitem
+  GROUP BY l_quantity, NULLIF(l_tax, 0.0), l_discount, l_returnflag)""")
 def duplicate_rows(spark, sf_dir):
     return profile.duplicate_rows(table(spark, sf_dir, "lineitem").select(
         "l_quantity", F.nullif("l_tax", F.lit(0.0)).alias("l_tax"), "l_discount", "l_returnflag"))

@@ -57,11 +57,12 @@ def rx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rx_sql() -> str:
-    digit = "CAST(('0x' || substr(md5('{n}:' || id), 1, 8))::BIGINT % 10 + 1 AS INTEGER) AS \"{n}\""
+    digits = ("CAST(('0x' || substr(md5('{b}:' || id), {start}, 4))::BIGINT % 10 + 1 AS INTEGER)"
+              ' AS "{n}"')
     names = [*REGIONAL.features, *REGIONAL.dropped]
     total = " + ".join(f'"{f}"' for f in REGIONAL.features)
-    return (f"{FX_SQL},\nrx0 AS (SELECT id, y, " + ", ".join(digit.format(n=n) for n in names)
-            + f" FROM fx),\nrx AS (SELECT * EXCLUDE (y), ({total} - 17) / 306.0::DOUBLE + y / 2 "
+    return (f"{FX_SQL},\nrx0 AS (SELECT id, y, " + ", ".join(
+        digits.format(b=i // 8, start=i % 8 * 4 + 1, n=n) for i, n in enumerate(names)) + f" FROM fx),\nrx AS (SELECT * EXCLUDE (y), ({total} - 17) / 306.0::DOUBLE + y / 2 "
             f'AS "{REGIONAL.target}" FROM rx0)')
 
 

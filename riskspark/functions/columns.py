@@ -176,11 +176,6 @@ def fold_number(key: str | Column, folds: int) -> Column:
     return (hash_number(key, start=9) % folds).cast("int")
 
 
-def hash_integer(key: str | Column, salt: str, low: int = 1, high: int = 10) -> Column:
-    """Repeatable integer in ``low..high``, both included."""
-    return (hash_number(key, salt) % (high - low + 1) + low).cast("int")
-
-
 # ---- times --------------------------------------------------------------------------------
 
 def micros(ts: str | Column) -> Column:

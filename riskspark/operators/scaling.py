@@ -64,6 +64,14 @@ def scaler_stages(features: Sequence[str], out: str = "features",
     ]
 
 
-def fit_scaler_model(train: DataFrame, features: Sequence[str]) -> PipelineModel:
+def fit_scaler_model(train: DataFrame, features: Sequence[str],
+                     out: str = "features_scaled") -> PipelineModel:
     """Fit the two stages as a pipeline model that can be saved."""
-    return Pipeline(stages=scaler_stages(features, "features_scaled")).fit(train)
+    return Pipeline(stages=scaler_stages(features, out)).fit(train)
+
+
+def scaler_of(model: PipelineModel, features: Sequence[str]) -> Scaler:
+    """The statistics of a fitted scaler stage, for use as plain arithmetic."""
+    stage = next(s for s in model.stages if hasattr(s, "mean") and hasattr(s, "std"))
+    return Scaler(tuple(features), tuple(float(v) for v in stage.mean),
+                  tuple(float(v) for v in stage.std))

@@ -33,8 +33,18 @@ def override_map(df: DataFrame, base: str, overrides: str, out: str = "merged")
 
 def random_scenario(df: DataFrame, key: str, features: Sequence[str], low: int = 1,
                     high: int = 10) -> DataFrame:
-    """Repeatable pseudo-random integers ``low..high`` per row and feature, from the key's hash."""
-    return df.withColumns({f: C.hash_integer(key, f, low, high) for f in features})
+    """Repeatable pseudo-random integers ``low..high`` per row and feature, from the key's hash.
+
+    One md5 has 32 hex digits and serves eight features, four digits each.
+    """
+    blocks = range((len(features) + 7) // 8)
+    hashed = df.withColumns({
+        f"_md5_{b}": F.md5(F.concat_ws(":", F.lit(str(b)), F.col(key).cast("string")))
+        for b in blocks})
+    span = high - low + 1
+    return hashed.withColumns({
+        f: (F.conv(F.substring(f"_md5_{i // 8}", i % 8 * 4 + 1, 4), 16, 10).cast("int") % span
+            + low) for i, f in enumerate(features)}).drop(*[f"_md5_{b}" for b in blocks])
 
 
 def random_scenario_seeded(df: DataFrame, features: Sequence[str], seed: int, low: int = 1,

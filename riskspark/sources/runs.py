@@ -155,7 +155,7 @@ def read_champion(spark: SparkSession, path: str) -> str:
     """The champion's run id; raises when there is no pointer or the pointer is blank."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no champion pointer at {path}; train first")
-    row = spark.read.parquet(path).select(F.trim("run_id").alias("run_id")).limit(1).first()
+    row = spark.read.parquet(path).select(F.trim("run_id", F.lit(" \t\r\n")).alias("run_id")).limit(1).first()
     if row is None or not row["run_id"]:
         raise ValueError(f"the champion pointer at {path} is empty; train again")
     return row["run_id"]
@@ -169,6 +169,13 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def log_model(model: PipelineModel, root: str, run_id: str, name: str = "model") -> str:
+    """Save a model as an artifact of a run and return its path."""
+    path = f"{root}/artifacts/{run_id}/{name}"
+    save_model(model, path)
+    return path
+
+
 def load_model(spark: SparkSession, path: str) -> PipelineModel:
     """Load a pipeline model after checking that its folder is complete."""
     if not path_exists(spark, path):
