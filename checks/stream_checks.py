@@ -1,0 +1,90 @@
+"""Streams over the event and line item tables; they must equal the batch results.
+
+The input arrives as three files in event order, one per micro-batch, so that state
+crosses batches.
+"""
+
+from pyspark.sql import functions as F
+
+from checks.register import check
+from checks.scoring_checks import ADVICE_SQL, BAND_SQL, LINE_SQL, line_model
+from checks.serving_checks import DAY, LIMITED_SQL, WINDOW_SQL, _reuse_sql
+from checks.tables import FX1, FX_SQL, ev, fx
+from riskspark.session import work_path
+from riskspark.streaming import events as E
+from riskspark.streaming import serving as S
+
+STARTS = ("2024-01-11", "2024-01-21")
+
+
+def event_feed(spark, sf_dir):
+    events = ev(spark, sf_dir)
+    path = work_path(spark, "feed")
+    bounds = [None, *[F.lit(s).cast("timestamp") for s in STARTS], None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = events
+        if low is not None:
+            part = part.where(F.col("ts") >= low)
+        if high is not None:
+            part = part.where(F.col("ts") < high)
+        part.write.mode("append").parquet(path)
+    stream = E.read_stream(spark, path, events.schema, max_files=1)
+    return E.with_event_time(stream)
+
+
+def drained(spark, df, mode="append"):
+    """Run the stream to its end and read what it wrote."""
+    path = work_path(spark, "stream")
+    query = E.write_stream(df, path, work_path(spark, "stream-checkpoint"), mode)
+    query.awaitTermination()
+    return spark.read.parquet(path)
+
+
+@check(f"WITH {LIMITED_SQL} SELECT event_id, user_id, window_us, position, allowed FROM limited")
+def stream_rate_limit(spark, sf_dir):
+    out = S.rate_limit_stream(event_feed(spark, sf_dir), "user_id", "ts", "event_id", 3, DAY)
+    return drained(spark, out).select("event_id", "user_id", "window_us", "position", "allowed")
+
+
+@check(_reuse_sql(600, "SELECT event_id, computed_us, hit FROM flagged"))
+def stream_reuse(spark, sf_dir):
+    out = S.reuse_stream(event_feed(spark, sf_dir), "event_type", "ts", "event_id", 600)
+    return drained(spark, out).select("event_id", "computed_us", "hit")
+
+
+@check(f"""SELECT user_id, {WINDOW_SQL} AS window_us, count(*) AS requests, count(*) > 3 AS over_limit
+           FROM events GROUP BY 1, 2""")
+def stream_window_counts(spark, sf_dir):
+    out = S.window_counts_stream(event_feed(spark, sf_dir), "user_id", "ts", 3, DAY)
+    return drained(spark, out, "complete")
+
+
+@check(f"""SELECT user_id, {WINDOW_SQL} AS window_us, count(*) AS requests, count(*) > 3 AS over_limit
+           FROM events GROUP BY 1, 2
+           HAVING window_us + {DAY * 1_000_000} <= (SELECT max(epoch_us(ts)) - 600000000 FROM events)""")
+def stream_closed_windows(spark, sf_dir):
+    """Append mode: only windows that the watermark has passed."""
+    out = S.closed_window_counts(event_feed(spark, sf_dir), "user_id", "ts", 3, DAY)
+    return drained(spark, out)
+
+
+@check("""SELECT user_id, event_id, event_type, value FROM events
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def stream_latest_result(spark, sf_dir):
+    out = S.latest_result_stream(event_feed(spark, sf_dir), "user_id", "ts", "event_id")
+    return drained(spark, out, "complete").select("user_id", "event_id", "event_type", "value")
+
+
+@check(f"""WITH {LINE_SQL}, s AS (SELECT id, w * l_extendedprice + b AS s FROM fx, line)
+SELECT id, round(s, 6) AS prediction, 1 AS features_used, 'success' AS status,
+  {BAND_SQL.format(s='s')} AS band, {ADVICE_SQL.format(s='s')} AS advice,
+  round(least(s * 100, 100.0), 6) AS percent FROM s""")
+def stream_scoring(spark, sf_dir):
+    asked = fx(spark, sf_dir).select("id", "l_extendedprice", (F.crc32("id") % 2).alias("part"))
+    path = work_path(spark, "feed")
+    asked.write.partitionBy("part").parquet(path)
+    stream = E.read_stream(spark, path, "id string, l_extendedprice double", max_files=1,
+                           recursiveFileLookup="true")
+    out = S.score_stream(stream, ["id"], line_model(spark, sf_dir), FX1)
+    return drained(spark, out).withColumns(
+        {c: F.round(c, 6) for c in ("prediction", "percent")})
