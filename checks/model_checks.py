@@ -11,6 +11,7 @@ from checks.tables import FOLD_SQL, FX, FX1, FX_SQL, SPLIT_SQL, fx, rx
 from riskspark.operators import evaluate, models, scaling
 from riskspark.operators.prepare import assemble
 from riskspark.operators.split import assign_folds, hash_split
+from riskspark.plans.scoring import score_table
 from riskspark.plans.training import tournament
 from riskspark.spec import REGIONAL
 
@@ -179,6 +180,71 @@ def boosted_two_rounds(spark, sf_dir):
                         {"maxDepth": 1, "maxIter": 2, "stepSize": 0.1})
 
 
+# All four models on one feature, so that SQL can follow the whole tournament: the linear grid
+# is searched in full, the trees make one split each and the boosted model two.
+ONE_FEATURE = replace(FX, features=("l_discount",), grids={
+    "LinearRegression": {"regParam": (0.01, 0.1), "elasticNetParam": (0.0, 0.5, 1.0)},
+    "DecisionTreeRegressor": {"maxDepth": (1,)},
+    "RandomForestRegressor": {"numTrees": (1,), "maxDepth": (1,), "bootstrap": (False,)},
+    "GradientBoostingRegressor": {"maxDepth": (1,), "maxIter": (2,)}})
+
+
+def _split_at(source: str, target: str, name: str) -> str:
+    return f"""{name}_v AS (SELECT l_discount AS v, count(*) AS n, sum({target}) AS s FROM {source} GROUP BY 1),
+{name}_c AS (SELECT v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s
+    FROM {name}_v WINDOW w AS (ORDER BY v)),
+{name} AS (SELECT v, sl / nl AS below, (s - sl) / (n - nl) AS above FROM {name}_c
+    WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)"""
+
+
+_AT = "CASE WHEN l_discount <= {t}.v THEN {t}.below ELSE {t}.above END"
+TOURNAMENT_SQL = f"""{CV_SQL.replace("l_extendedprice AS x", "l_discount AS x, l_discount")},
+pick AS (SELECT * FROM cv ORDER BY avg_rmse, grid_id LIMIT 1),
+whole AS (SELECT {MOMENTS_SQL} FROM tr),
+line AS (SELECT my, mx, {FIT_SQL} AS w FROM whole, pick),
+{_split_at('tr', 'y', 't1')},
+r1 AS (SELECT tr.*, 2 * (y - {_AT.format(t='t1')}) AS residual FROM tr, t1),
+{_split_at('r1', 'residual', 't2')},
+p AS (SELECT {SPLIT_SQL} AS split, y, my + w * (l_discount - mx) AS linear, {_AT.format(t='t1')} AS tree,
+    {_AT.format(t='t1')} + 0.1 * {_AT.format(t='t2')} AS boosted FROM fx, line, t1, t2),
+long AS (SELECT split, y, unnest([
+    {{'model': 'LinearRegression', 'ordinal': 0, 'p': linear}},
+    {{'model': 'DecisionTreeRegressor', 'ordinal': 1, 'p': tree}},
+    {{'model': 'RandomForestRegressor', 'ordinal': 2, 'p': tree}},
+    {{'model': 'GradientBoostingRegressor', 'ordinal': 3, 'p': boosted}}], recursive := true) FROM p),
+e AS (SELECT model, ordinal, split, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) AS r2,
+    sqrt(avg((y - p) ** 2)) AS rmse, avg((y - p) ** 2) AS mse, avg(abs(y - p)) AS mae FROM long GROUP BY ALL),
+s AS (SELECT model, CAST(ordinal AS INTEGER) AS ordinal, {', '.join(
+    f"max({n.split('_')[1].lower()}) FILTER (split = '{n.split('_')[0].lower()}') AS {n}"
+    for n in evaluate.SCORE_NAMES)} FROM e GROUP BY ALL)"""
+
+
+def _one_feature_tournament(spark, sf_dir):
+    spec = ONE_FEATURE
+    df = assign_folds(hash_split(fx(spark, sf_dir), "id", spec), "id", spec)
+    scaler = scaling.fit_scaler(df.where("split = 'train'"), spec.features)
+    return tournament(scaling.apply_scaler(df, scaler).select(*spec.kept, "split", "fold"), spec)
+
+
+@check(f"""WITH {TOURNAMENT_SQL} SELECT model, ordinal, {', '.join(
+    f"round({n}, 7) AS {n}" for n in evaluate.SCORE_NAMES)},
+  CASE WHEN Train_R2 - Test_R2 > 0.1 THEN 'overfit' WHEN Test_R2 < 0.7 THEN 'underfit'
+       ELSE 'good' END AS fit_status FROM s""")
+def tournament_scores(spark, sf_dir):
+    scores = _one_feature_tournament(spark, sf_dir).scores
+    return scores.select("model", "ordinal", "fit_status",
+                         *[F.round(n, 7).alias(n) for n in evaluate.SCORE_NAMES])
+
+
+@check(f"""WITH {TOURNAMENT_SQL} SELECT model, ordinal, round(Test_RMSE, 7) AS Test_RMSE FROM s
+           ORDER BY round(s.Test_RMSE, 12), ordinal LIMIT 1""")
+def tournament_champion(spark, sf_dir):
+    scores = _one_feature_tournament(spark, sf_dir).scores
+    # Two models with one and the same split differ only in the order of their sums.
+    best = evaluate.champion(scores.withColumn("Test_RMSE", F.round("Test_RMSE", 12)))
+    return best.withColumn("Test_RMSE", F.round("Test_RMSE", 7))
+
+
 SMALL_GRIDS = {"LinearRegression": {"regParam": (0.01, 0.1), "elasticNetParam": (0.0, 0.5, 1.0)},
                "DecisionTreeRegressor": {"maxDepth": (2, 4)},
                "RandomForestRegressor": {"numTrees": (3,), "maxDepth": (3,)},
@@ -195,17 +261,22 @@ def model_tournament(spark, sf_dir):
     return tournament(rows, spec).scores
 
 
-@check()
+@check(f"""WITH {STUMP_SQL} SELECT pos, f.feature, CASE WHEN f.feature = t1.feature THEN 1.0::DOUBLE
+           ELSE 0.0::DOUBLE END AS importance FROM (VALUES (0, 'l_discount'), (1, 'l_tax')) f(pos, feature), t1""")
 def tree_importances(spark, sf_dir):
-    train = train_rows(spark, sf_dir, FX)
-    model = models.fit_model(train, FX, "RandomForestRegressor", {"numTrees": 5, "maxDepth": 4})
-    return models.importance_table(spark, model, FX.features)
+    spec = replace(FX, features=tuple(STUMP_FEATURES))
+    train = train_rows(spark, sf_dir, spec)
+    model = models.fit_model(train, spec, "DecisionTreeRegressor", {"maxDepth": 1})
+    return models.importance_table(spark, model, spec.features)
 
 
-@check()
+@check(f"""WITH {STUMP_SQL}, r1 AS (SELECT tr.*, 2 * (y - {STUMP_P.format(t='t1')}) AS residual FROM tr, t1),
+{_stump_sql('r1', 'residual', 't2')}
+SELECT id, round({STUMP_P.format(t='t1')} + 0.1 * {STUMP_P.format(t='t2')}, 8) AS prediction FROM fx, t1, t2""")
 def score_with_trees(spark, sf_dir):
-    from riskspark.plans.scoring import score_table
-    train = train_rows(spark, sf_dir, FX)
-    model = models.fit_model(train, FX, "GradientBoostingRegressor", {"maxIter": 5, "maxDepth": 3})
-    out = score_table(fx(spark, sf_dir), model, FX)
-    return out.select("id", F.round("prediction", 6).alias("prediction"))
+    """A boosted model behind its scaler, scored over the whole table."""
+    spec = replace(FX, features=tuple(STUMP_FEATURES))
+    model = models.fit_model(train_rows(spark, sf_dir, spec), spec, "GradientBoostingRegressor",
+                             {"maxDepth": 1, "maxIter": 2})
+    out = score_table(fx(spark, sf_dir), model, spec)
+    return out.select("id", F.round("prediction", 8).alias("prediction"))

@@ -199,3 +199,12 @@ def named_values(spark, sf_dir):
     named = reshape.named_values(values, FX_FEATURES, "values", "named")
     return named.select("id", F.col("named")["l_quantity"].alias("first"),
                         F.col("named")["l_tax"].alias("last"), F.size("named").alias("n"))
+
+
+@check(f"WITH {FX_SQL} SELECT id, l_quantity, coalesce(NULLIF(l_tax, 0.0), 5.0) AS l_tax, "
+       "5.0::DOUBLE AS other FROM fx")
+def features_from_map(spark, sf_dir):
+    values = F.create_map(F.lit("l_quantity"), F.col("l_quantity"),
+                          F.lit("l_tax"), F.nullif("l_tax", F.lit(0.0)))
+    sent = fx(spark, sf_dir).select("id", values.alias("sent"))
+    return prepare.features_from_map(sent, "sent", ["l_quantity", "l_tax", "other"]).drop("sent")

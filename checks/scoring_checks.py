@@ -225,3 +225,14 @@ def text_functions(spark, sf_dir):
         "run_id", C.timestamp_text("start_time").alias("started"),
         C.short_text(F.repeat(F.concat("run_name", F.lit("; ")), 20)).alias("short"),
         F.upper("run_name").alias("loud"), F.col("run_name").startswith("1-").alias("urgent"))
+
+
+@check(f"""WITH {LINE_SQL}, p AS (SELECT w * l_extendedprice + b AS s FROM fx, line
+             WHERE {SPLIT_SQL} = 'test')
+SELECT {BAND_SQL.format(s='s')} AS band, count(*) AS n_rows, round(avg(s), 6) AS avg_score
+FROM p GROUP BY 1""")
+def held_out_bands(spark, sf_dir):
+    """Split, scale, fit, score the held-out rows, band them: the whole job in one query."""
+    test = hash_split(fx(spark, sf_dir), "id", FX1).where("split = 'test'")
+    scored = score_table(test, line_model(spark, sf_dir), FX1)
+    return rounded(scoring.band_report(scoring.with_bands(scored, FX1)), "avg_score")

@@ -9,7 +9,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.spec import JobSpec
+from riskspark.functions import columns as C
+from riskspark.spec import DEFAULT_VALUE, JobSpec
 
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -69,6 +70,12 @@ def validate(df: DataFrame, features: Sequence[str], low: float | None = None,
     return df.withColumn("reasons", reasons).withColumn("ok", F.size("reasons") == 0)
 
 
+def features_from_map(df: DataFrame, mapping: str, features: Sequence[str],
+                      default: float = DEFAULT_VALUE) -> DataFrame:
+    """One column per feature from a map column; a missing feature gets the default."""
+    return df.withColumns({f: C.map_default(mapping, f, float(default)) for f in features})
+
+
 def accepted(validated: DataFrame, features: Sequence[str]) -> DataFrame:
     """Good rows, with the features as doubles."""
     return (validated.where("ok").drop("ok", "reasons")
