@@ -102,11 +102,15 @@ def hash_split(spark, sf_dir):
     return split.hash_split(fx(spark, sf_dir).select("id"), "id", FX)
 
 
-@check()
+@check("SELECT count(*) AS n_rows, true AS disjoint, true AS near_share FROM lineitem")
 def bernoulli_split(spark, sf_dir):
-    train, test = split.bernoulli_split(fx(spark, sf_dir), FX)
-    parts = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    return parts.groupBy("split").agg(F.count("*").alias("n_rows"), F.avg("y").alias("avg_y"))
+    """Which rows fall where depends on Spark's generator; the parts must add up to the table."""
+    train, test = split.bernoulli_split(fx(spark, sf_dir).withColumn(
+        "row", F.monotonically_increasing_id()), FX)
+    parts = train.withColumn("part", F.lit(1)).unionByName(test.withColumn("part", F.lit(0)))
+    rows = parts.groupBy("row").agg(F.count("*").alias("n"), F.max("part").alias("part"))
+    return rows.agg(F.sum("n").alias("n_rows"), (F.max("n") == 1).alias("disjoint"),
+                    F.avg("part").between(0.75, 0.85).alias("near_share"))
 
 
 @check(f"WITH {FX_SQL} SELECT id, {FOLD_SQL} AS fold FROM fx")

@@ -32,7 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _item_id():
-    return F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
 
 
 def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +43,8 @@ def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FX_SQL = """fx AS (
-  SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
+  SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                   CAST(round(l_extendedprice * 100) AS BIGINT)) AS id,
          l_quantity, l_extendedprice, l_discount, l_tax,
          l_extendedprice * (1 - l_discount) * (1 + l_tax) / 110000 AS y
   FROM lineitem)"""

@@ -28,9 +28,11 @@ class Prepared:
 
 def keyed(df: DataFrame, spec: JobSpec, key: str | None) -> DataFrame:
     """Kept columns with a text key ``_key``; without a key column the row's values are the key."""
-    text = F.col(key).cast("string") if key else F.concat_ws(
-        "|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in spec.kept])
-    return select_features(df.withColumn("_key", text), spec, ["_key"])
+    if key:
+        kept = select_features(df, spec, [key])
+        return kept.withColumn("_key", F.col(key).cast("string")).select("_key", *spec.kept)
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in spec.kept]
+    return select_features(df, spec).withColumn("_key", F.concat_ws("|", *values))
 
 
 def prepare(raw: DataFrame, spec: JobSpec, root: str, key: str | None = None) -> Prepared:
