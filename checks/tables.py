@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.operators.scenario import random_scenario
+from riskspark.sources.files import spread
 from riskspark.spec import REGIONAL, JobSpec
 
 FX_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -39,7 +40,8 @@ def _item_id():
 def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     y = (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
          * (F.lit(1) + F.col("l_tax")) / F.lit(110000))
-    return table(spark, sf_dir, "lineitem").select(_item_id().alias("id"), *FX_FEATURES, y.alias("y"))
+    items = spread(table(spark, sf_dir, "lineitem"))
+    return items.select(_item_id().alias("id"), *FX_FEATURES, y.alias("y"))
 
 
 FX_SQL = """fx AS (
@@ -59,13 +61,14 @@ def rx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rx_sql() -> str:
-    digits = ("CAST(('0x' || substr(md5('{b}:' || id), {start}, 4))::BIGINT % 10 + 1 AS INTEGER)"
+    digits = ("CAST(('0x' || substr(md5('{b}:' || id), 1, 15))::BIGINT // {power} % 10 + 1 AS INTEGER)"
               ' AS "{n}"')
     names = [*REGIONAL.features, *REGIONAL.dropped]
     total = " + ".join(f'"{f}"' for f in REGIONAL.features)
     return (f"{FX_SQL},\nrx0 AS (SELECT id, y, " + ", ".join(
-        digits.format(b=i // 8, start=i % 8 * 4 + 1, n=n) for i, n in enumerate(names)) + f" FROM fx),\nrx AS (SELECT * EXCLUDE (y), ({total} - 17) / 306.0::DOUBLE + y / 2 "
-            f'AS "{REGIONAL.target}" FROM rx0)')
+        digits.format(b=i // 15, power=10 ** (i % 15), n=n) for i, n in enumerate(names))
+        + f" FROM fx),\nrx AS (SELECT * EXCLUDE (y), ({total} - 17) / 306.0::DOUBLE + y / 2 "
+        f'AS "{REGIONAL.target}" FROM rx0)')
 
 
 RX_SQL = _rx_sql()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
@@ -62,7 +62,13 @@ def regression_stages(spec: JobSpec, name: str, params: dict | None = None,
 
 def fit_model(train: DataFrame, spec: JobSpec, name: str = "LinearRegression",
               params: dict | None = None, scaled: bool = True) -> PipelineModel:
-    return Pipeline(stages=regression_stages(spec, name, params, scaled)).fit(train)
+    """Fit scaler and regressor. Both read the rows more than once, so the needed columns
+    are kept (spilling to disk) while fitting."""
+    rows = train.select(*spec.kept).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=regression_stages(spec, name, params, scaled)).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 # ---- cross-validated grid search ------------------------------------------------------------

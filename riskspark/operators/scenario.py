@@ -35,16 +35,19 @@ def random_scenario(df: DataFrame, key: str, features: Sequence[str], low: int =
                     high: int = 10) -> DataFrame:
     """Repeatable pseudo-random integers ``low..high`` per row and feature, from the key's hash.
 
-    One md5 has 32 hex digits and serves eight features, four digits each.
+    A hash gives a number of 60 bits; its digits in base ``high - low + 1`` serve up to
+    ``per_hash`` features, so that few hashes are needed per row.
     """
-    blocks = range((len(features) + 7) // 8)
-    hashed = df.withColumns({
-        f"_md5_{b}": F.md5(F.concat_ws(":", F.lit(str(b)), F.col(key).cast("string")))
-        for b in blocks})
     span = high - low + 1
+    # Leave the top digits unused: they are not evenly distributed.
+    per_hash = next(k for k in range(60, 0, -1) if span ** (k + 3) <= 2**60)
+    blocks = range((len(features) + per_hash - 1) // per_hash)
+    hashed = df.withColumns({
+        f"_hash_{b}": F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(b)), key)), 1, 15), 16, 10)
+        .cast("bigint") for b in blocks})
     return hashed.withColumns({
-        f: (F.conv(F.substring(f"_md5_{i // 8}", i % 8 * 4 + 1, 4), 16, 10).cast("int") % span
-            + low) for i, f in enumerate(features)}).drop(*[f"_md5_{b}" for b in blocks])
+        f: F.expr(f"cast(_hash_{i // per_hash} div {span ** (i % per_hash)} % {span} + {low} as int)")
+        for i, f in enumerate(features)}).drop(*[f"_hash_{b}" for b in blocks])
 
 
 def random_scenario_seeded(df: DataFrame, features: Sequence[str], seed: int, low: int = 1,

@@ -120,18 +120,17 @@ def reuse_results(df: DataFrame, key: str, ts: str, id: str, seconds: int = REUS
                 .groupBy(SLICE)
                 .applyInPandas(_mark_computations(SLICE, ttl),
                                f"{SLICE} int, _key {key_type}, _miss_us bigint"))
-    order = Window.partitionBy(SLICE, key).orderBy("_us", id)
-    # A slice's computations are few and unique per (slice, key, time).
-    flagged = entered.join(
-        computed.withColumnRenamed(SLICE, "_slice_c"),
-        (F.col(SLICE) == F.col("_slice_c")) & F.col(key).eqNullSafe(F.col("_key"))
-        & (F.col("_us") == F.col("_miss_us")), "left")
-    first_at = F.coalesce(F.lag("_us").over(order) != F.col("_us"), F.lit(True))
-    last = F.last("_miss_us", ignorenulls=True).over(
+    # The computations join their requests as marks in front of them: one more shuffle, no join.
+    marks = computed.select(SLICE, F.col("_key").alias(key), F.col("_miss_us").alias("_us"),
+                            F.lit(0).alias("_row"))
+    both = entered.withColumn("_row", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    order = Window.partitionBy(SLICE, key).orderBy("_us", "_row", id)
+    last = F.last(F.when(F.col("_row") == 0, F.col("_us")), ignorenulls=True).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (flagged.withColumn("hit", ~(F.col("_miss_us").isNotNull() & first_at))
+    # The request right behind a mark is the one that computes.
+    return (both.withColumn("hit", F.coalesce(F.lag("_row").over(order) == 1, F.lit(True)))
             .withColumn("computed_us", F.coalesce(last, F.col("_entry_us")))
-            .drop(SLICE, "_slice_c", "_key", "_us", "_entry_us", "_miss_us"))
+            .where("_row = 1").drop(SLICE, "_us", "_entry_us", "_row"))
 
 
 def _reuse_entries(sliced: DataFrame, key: str, ttl: int) -> DataFrame:

@@ -17,6 +17,7 @@ from riskspark.operators.prepare import assemble
 from riskspark.plans.preparation import EXPERIMENT as PREPARATION
 from riskspark.plans.preparation import Prepared
 from riskspark.sources import runs as R
+from riskspark.sources.files import spread
 from riskspark.spec import JobSpec
 
 EXPERIMENT = "Training"
@@ -40,7 +41,7 @@ def tournament(rows: DataFrame, spec: JobSpec, parallelism: int = 4) -> Tourname
     and measured on both splits in a single pass.
     """
     spark = rows.sparkSession
-    vectors = assemble(rows, spec.features).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = assemble(spread(rows), spec.features).persist(StorageLevel.MEMORY_AND_DISK)
     train = vectors.where("split = 'train'")
     searches, models, scored = {}, {}, vectors
     try:
