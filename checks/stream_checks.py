@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 from checks.register import check
 from checks.scoring_checks import ADVICE_SQL, BAND_SQL, LINE_SQL, line_model
 from checks.serving_checks import DAY, LIMITED_SQL, WINDOW_SQL, _reuse_sql
-from checks.tables import FX1, FX_SQL, ev, fx
+from checks.tables import FX1, ev, fx
 from riskspark.session import work_path
 from riskspark.streaming import events as E
 from riskspark.streaming import serving as S
+from riskspark.streaming.stateful import read_output
 
 STARTS = ("2024-01-11", "2024-01-21")
 
 
-def event_feed(spark, sf_dir):
+def event_feed(spark, sf_dir, order=(0, 1, 2)):
     events = ev(spark, sf_dir)
     path = work_path(spark, "feed")
     bounds = [None, *[F.lit(s).cast("timestamp") for s in STARTS], None]
-    for low, high in zip(bounds, bounds[1:]):
+    for low, high in [(bounds[i], bounds[i + 1]) for i in order]:
         part = events
         if low is not None:
             part = part.where(F.col("ts") >= low)
@@ -42,14 +43,28 @@ def drained(spark, df, mode="append"):
 
 @check(f"WITH {LIMITED_SQL} SELECT event_id, user_id, window_us, position, allowed FROM limited")
 def stream_rate_limit(spark, sf_dir):
-    out = S.rate_limit_stream(event_feed(spark, sf_dir), "user_id", "ts", "event_id", 3, DAY)
-    return drained(spark, out).select("event_id", "user_id", "window_us", "position", "allowed")
+    root = work_path(spark, "limited")
+    S.rate_limit_stream(event_feed(spark, sf_dir), "user_id", "ts", "event_id", root, 3,
+                        DAY).awaitTermination()
+    return read_output(spark, root).select("event_id", "user_id", "window_us", "position", "allowed")
 
 
 @check(_reuse_sql(600, "SELECT event_id, computed_us, hit FROM flagged"))
 def stream_reuse(spark, sf_dir):
-    out = S.reuse_stream(event_feed(spark, sf_dir), "event_type", "ts", "event_id", 600)
-    return drained(spark, out).select("event_id", "computed_us", "hit")
+    root = work_path(spark, "reused")
+    S.reuse_stream(event_feed(spark, sf_dir), "event_type", "ts", "event_id", root,
+                   600).awaitTermination()
+    return read_output(spark, root).select("event_id", "computed_us", "hit")
+
+
+@check("""SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-11'
+          AND ts < TIMESTAMP '2024-01-21' AND epoch_us(ts) < (SELECT max(epoch_us(ts)) - 600000000 FROM events)""")
+def stream_late_rows(spark, sf_dir):
+    """The middle third arrives last; all of it is behind the watermark and set aside."""
+    root = work_path(spark, "late")
+    S.rate_limit_stream(event_feed(spark, sf_dir, order=(0, 2, 1)), "user_id", "ts", "event_id",
+                        root, 3, DAY).awaitTermination()
+    return read_output(spark, root, "late").select("event_id", "user_id")
 
 
 @check(f"""SELECT user_id, {WINDOW_SQL} AS window_us, count(*) AS requests, count(*) > 3 AS over_limit

@@ -36,15 +36,21 @@ def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .checkpoint())
 
 
-def join_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of a carried table on slice and (null-safe) key."""
+def join_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str],
+               small: bool = True) -> DataFrame:
+    """Left join of a carried table on slice and (null-safe) key.
+
+    ``small`` says that only keys that continue into a slice are carried, hence fewer rows
+    than there are slices.
+    """
     names = (SLICE, *keys)
     renamed = carry.select(*[F.col(c).alias(f"_c_{c}") for c in names],
                            *[c for c in carry.columns if c not in names])
     condition = F.lit(True)
     for c in names:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
-    return df.join(F.broadcast(renamed), condition, "left").drop(*[f"_c_{c}" for c in names])
+    side = F.broadcast(renamed) if small else renamed
+    return df.join(side, condition, "left").drop(*[f"_c_{c}" for c in names])
 
 
 def _earlier_slices(keys: Sequence[str]):
@@ -53,14 +59,23 @@ def _earlier_slices(keys: Sequence[str]):
 
 
 def running_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   out: str = "number", slices: int | None = None) -> DataFrame:
-    """``row_number`` of each row within its key, counted from 1 in ``order``."""
+                   out: str = "number", slices: int | None = None,
+                   earlier: DataFrame | None = None) -> DataFrame:
+    """``row_number`` of each row within its key, counted from 1 in ``order``.
+
+    ``earlier`` holds ``(keys, rows)``: how many rows of a key came before this table.
+    """
     sliced = slice_by_order(df, keys, order, slices)
-    local = F.row_number().over(Window.partitionBy(SLICE, *keys).orderBy(*order))
-    carry = (sliced.groupBy(SLICE, *keys).agg(F.count(F.lit(1)).alias("_rows"))
-             .withColumn("_before", F.sum("_rows").over(_earlier_slices(keys)))
+    numbered = sliced.withColumn(
+        out, F.row_number().over(Window.partitionBy(SLICE, *keys).orderBy(*order)))
+    sizes = sliced.groupBy(SLICE, *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    if earlier is not None:
+        before = earlier.select(F.lit(-1).alias(SLICE), *keys, F.col("rows").alias("_rows"))
+        sizes = sizes.unionByName(before)
+    carry = (sizes.withColumn("_before", F.sum("_rows").over(_earlier_slices(keys)))
              .where("_before > 0").drop("_rows"))
-    return (join_carry(sliced.withColumn(out, local), carry, keys)
+    # Earlier rows may carry into every key; the join then follows the window's partitioning.
+    return (join_carry(numbered, carry, keys, small=earlier is None)
             .withColumn(out, F.col(out).cast("bigint") + F.coalesce("_before", F.lit(0)))
             .drop(SLICE, "_before"))
 

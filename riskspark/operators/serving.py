@@ -55,14 +55,16 @@ def window_start(ts: str, seconds: int):
 
 
 def rate_limit(df: DataFrame, client: str, ts: str, id: str, limit: int = REQUESTS_PER_WINDOW,
-               seconds: int = WINDOW_SECONDS) -> DataFrame:
+               seconds: int = WINDOW_SECONDS, earlier: DataFrame | None = None) -> DataFrame:
     """Number the requests of a client in its window and admit the first ``limit``.
 
     Adds ``window_us``, ``position``, ``allowed`` and ``retry_after`` (whole seconds until
-    the next window for a rejected request, else 0).
+    the next window for a rejected request, else 0). ``earlier`` holds requests already
+    counted, as ``(client, window_us, rows)``.
     """
     windowed = df.withColumn("window_us", window_start(ts, seconds))
-    numbered = running_number(windowed, [client, "window_us"], [ts, id], "position")
+    numbered = running_number(windowed, [client, "window_us"], [ts, id], "position",
+                              earlier=earlier)
     left = F.ceil((F.col("window_us") + seconds * 1_000_000 - C.micros(ts)) / F.lit(1e6))
     return (numbered.withColumn("allowed", F.col("position") <= limit)
             .withColumn("retry_after", F.when(F.col("allowed"), 0).otherwise(left).cast("int")))

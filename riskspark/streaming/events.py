@@ -8,13 +8,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 WATERMARK = "10 minutes"
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
                 max_files: int = 100, **options) -> DataFrame:
-    """A folder of files as a stream. ``max_files`` bounds a micro-batch, and with it the
-    rows that one key can bring into one task at a time."""
+    """A folder of files as a stream; ``max_files`` bounds a micro-batch."""
     return (spark.readStream.format(fmt).schema(schema).options(**options)
             .option("maxFilesPerTrigger", max_files).load(path))
 
@@ -40,8 +38,3 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
         batch.write.mode("overwrite").parquet(path)
 
     return writer.foreachBatch(replace).start()
-
-
-def use_state_store(spark: SparkSession) -> None:
-    """Keyed state beyond the heap of an executor: required by the stateful operators."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)

@@ -1,136 +1,63 @@
-"""Rate limit, result reuse, window counts and scoring on request streams.
-
-The stateful operators keep one number per key and drop it by event-time timer once the
-watermark has passed its use. Rows of a key are taken in event order within a micro-batch.
-"""
+"""Rate limit, result reuse, window counts and scoring on request streams."""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from riskspark.functions import columns as C
-from riskspark.operators.serving import latest_result, window_counts, window_start
+from riskspark.operators.serving import (latest_result, rate_limit, reuse_results, window_counts,
+                                         window_start)
 from riskspark.plans.scoring import score_requests
 from riskspark.spec import JobSpec, REQUESTS_PER_WINDOW, REUSE_SECONDS, WINDOW_SECONDS
-from riskspark.streaming.events import use_state_store
+from riskspark.streaming.stateful import run_stateful
 
 
-def rate_limit_stream(df: DataFrame, client: str, ts: str, id: str,
-                      limit: int = REQUESTS_PER_WINDOW,
-                      seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """Admit the first ``limit`` requests per client and clock-aligned window.
+def rate_limit_stream(df: DataFrame, client: str, ts: str, id: str, root: str,
+                      limit: int = REQUESTS_PER_WINDOW, seconds: int = WINDOW_SECONDS,
+                      delay_seconds: int = 600) -> StreamingQuery:
+    """The batch rate limit over a stream; the state is the count per client and window."""
+    keys = [client, "window_us"]
 
-    ``df`` carries a watermark on ``ts``. Rows ``(client, window_us, ts, id, position, allowed)``.
-    State is keyed by client and window, so a client's windows are independent.
-    """
-    use_state_store(df.sparkSession)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    schema = T.StructType([
-        T.StructField(client, fields[client]), T.StructField("window_us", T.LongType()),
-        T.StructField(ts, T.TimestampType()), T.StructField(id, fields[id]),
-        T.StructField("position", T.LongType()), T.StructField("allowed", T.BooleanType())])
-    rows = df.select(client, window_start(ts, seconds).alias("window_us"), ts, id)
-    return (rows.groupBy(client, "window_us")
-            .transformWithStateInPandas(
-                _rate_counter(client, ts, id, limit, seconds), schema, "append", "eventTime"))
-
-
-def _rate_counter(client: str, ts: str, id: str, limit: int, seconds: int):
-    import pandas as pd
-    from pyspark.sql.streaming import StatefulProcessor
-
-    class RateCounter(StatefulProcessor):
-        def init(self, handle):
-            self.handle = handle
-            self.count = handle.getValueState("count", "n bigint")
-
-        def handleInputRows(self, key, rows, timerValues):
-            batch = pd.concat(list(rows)).sort_values([ts, id], kind="stable")
-            seen = self.count.get()[0] if self.count.exists() else 0
-            if not seen:
-                self.handle.registerTimer(int(key[1]) // 1000 + seconds * 1000)
-            self.count.update((seen + len(batch),))
-            position = range(seen + 1, seen + len(batch) + 1)
-            yield pd.DataFrame({
-                client: batch[client].to_numpy(), "window_us": batch["window_us"].to_numpy(),
-                ts: batch[ts].array, id: batch[id].to_numpy(), "position": list(position),
-                "allowed": [p <= limit for p in position]})
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            self.count.clear()
-            yield pd.DataFrame()
-
-        def close(self):
-            pass
-
-    return RateCounter()
-
-
-def reuse_stream(df: DataFrame, key: str, ts: str, id: str,
-                 seconds: int = REUSE_SECONDS) -> DataFrame:
-    """Which earlier computation serves a request, as in the batch operator.
-
-    ``df`` carries a watermark on ``ts``. Rows ``(key, ts, id, computed_us, hit)``.
+    def step(batch, state):
+        return rate_limit(batch, client, ts, id, limit, seconds,
+                          None if state is None else state.drop("expiry_us"))
+
+    def remember(output, state):
+        counts = output.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        if state is not None:
+            counts = (counts.unionByName(state.drop("expiry_us"))
+                      .groupBy(*keys).agg(F.sum("rows").alias("rows")))
+        return counts.withColumn("expiry_us", F.col("window_us") + seconds * 1_000_000)
+
+    return run_stateful(df, ts, step, remember, "expiry_us", root, delay_seconds)
+
+
+def reuse_stream(df: DataFrame, key: str, ts: str, id: str, root: str,
+                 seconds: int = REUSE_SECONDS, delay_seconds: int = 600) -> StreamingQuery:
+    """The batch result reuse over a stream; the state is the last computation per key.
+
+    It takes part in the next batch as that key's first request, and so serves or expires
+    exactly as it would have in one long batch.
     """
-    use_state_store(df.sparkSession)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    schema = T.StructType([
-        T.StructField(key, fields[key]), T.StructField(ts, T.TimestampType()),
-        T.StructField(id, fields[id]), T.StructField("computed_us", T.LongType()),
-        T.StructField("hit", T.BooleanType())])
-    rows = df.select(key, ts, id, C.micros(ts).alias("request_us"))
-    return (rows.groupBy(key)
-            .transformWithStateInPandas(_reuse_memory(key, ts, id, seconds * 1_000_000), schema,
-                                        "append", "eventTime"))
-
-
-def _reuse_memory(key_name: str, ts: str, id: str, ttl: int):
-    import pandas as pd
-    from pyspark.sql.streaming import StatefulProcessor
-
-    class ReuseMemory(StatefulProcessor):
-        def init(self, handle):
-            self.handle = handle
-            self.computed = handle.getValueState("computed", "us bigint")
-
-        def handleInputRows(self, key, rows, timerValues):
-            import numpy as np
-
-            batch = pd.concat(list(rows)).sort_values(["request_us", id], kind="stable")
-            times = batch["request_us"].to_numpy()
-            before = self.computed.get()[0] if self.computed.exists() else None
-            served = np.empty(len(times), dtype=np.int64)
-            hit = np.ones(len(times), dtype=bool)
-            last, start = before, 0
-            # Jump from computation to computation; the requests in between are hits.
-            while start < len(times):
-                if last is None or times[start] >= last + ttl:
-                    last = int(times[start])
-                    hit[start] = False
-                end = int(np.searchsorted(times, last + ttl, "left"))
-                served[start:end] = last
-                start = end
-            if last != before:
-                self.computed.update((last,))
-                self.handle.registerTimer((last + ttl) // 1000 + 1)
-            yield pd.DataFrame({key_name: batch[key_name].to_numpy(), ts: batch[ts].array,
-                                id: batch[id].to_numpy(), "computed_us": served, "hit": hit})
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            # An older timer may fire while a newer result is still in use.
-            if self.computed.exists():
-                expired = expiredTimerInfo.getExpiryTimeInMs()
-                if (self.computed.get()[0] + ttl) // 1000 + 1 <= expired:
-                    self.computed.clear()
-            yield pd.DataFrame()
-
-        def close(self):
-            pass
-
-    return ReuseMemory()
+    def step(batch, state):
+        rows = batch.withColumn("_earlier", F.lit(False))
+        if state is not None:
+            first = state.select(key, F.timestamp_micros("computed_us").alias(ts),
+                                 F.lit(True).alias("_earlier"))
+            rows = rows.unionByName(first, allowMissingColumns=True)
+        served = reuse_results(rows, key, ts, id, seconds)
+        return served.where("not _earlier").drop("_earlier")
+
+    def remember(output, state):
+        computed = output.select(key, "computed_us")
+        if state is not None:
+            computed = computed.unionByName(state.drop("expiry_us"))
+        return (computed.groupBy(key).agg(F.max("computed_us").alias("computed_us"))
+                .withColumn("expiry_us", F.col("computed_us") + seconds * 1_000_000))
+
+    return run_stateful(df, ts, step, remember, "expiry_us", root, delay_seconds)
 
 
 def window_counts_stream(df: DataFrame, client: str, ts: str, limit: int = REQUESTS_PER_WINDOW,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskspark.operators import serving
 from riskspark.streaming import events as E
 from riskspark.streaming import serving as S
+from riskspark.streaming.stateful import read_output
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 SCHEMA = "client string, ts timestamp, id int"
@@ -42,25 +43,48 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
 
 
 def test_rate_limit_goes_on_after_a_restart(spark, tmp_path):
-    src, out, chk = (f"{tmp_path}/{n}" for n in ("src", "out", "chk"))
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
     feed(spark, src, [("a", s, s) for s in range(7)] + [("b", 3, 100)])
-    drain(S.rate_limit_stream(stream(spark, src), "client", "ts", "id"), out, chk)
+    S.rate_limit_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
     feed(spark, src, [("a", s, s) for s in range(7, 12)] + [("a", 61, 61)])
-    drain(S.rate_limit_stream(stream(spark, src), "client", "ts", "id"), out, chk)
-    rows = {(r["client"], r["id"]): r["allowed"] for r in spark.read.parquet(out).collect()}
-    assert len(rows) == 14
-    assert [k for k, allowed in rows.items() if not allowed] and not rows[("a", 10)] and not rows[("a", 11)]
-    assert sum(not v for v in rows.values()) == 2
+    feed(spark, src, [("a", 62, 62), ("a", 20, 20)])
+    S.rate_limit_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    rows = {(r["client"], r["id"]): r["allowed"] for r in read_output(spark, root).collect()}
+    assert len(rows) == 16
+    assert {k for k, allowed in rows.items() if not allowed} == {("a", 10), ("a", 11), ("a", 20)}
+
+
+def test_late_rows_are_set_aside(spark, tmp_path):
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
+    for rows in ([("a", 0, 1), ("a", 7200, 2)], [("a", 10, 3), ("a", 7000, 4)]):
+        feed(spark, src, rows)
+    S.rate_limit_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    assert [r["id"] for r in read_output(spark, root, "late").collect()] == [3]
+    assert sorted(r["id"] for r in read_output(spark, root).collect()) == [1, 2, 4]
+
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    """A batch that failed after writing its output and state is run again."""
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
+    for i in range(3):
+        feed(spark, src, [("a", 20 * i + s, 20 * i + s) for s in range(6)])
+    S.rate_limit_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    for name in ("2", ".2.crc"):
+        (tmp_path / "job" / "checkpoint" / "commits" / name).unlink()
+    S.rate_limit_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    rows = read_output(spark, root).collect()
+    assert len(rows) == 18
+    assert sorted(r["position"] for r in rows) == list(range(1, 19))
 
 
 def test_reuse_stream_equals_batch(spark, tmp_path):
-    src, out, chk = (f"{tmp_path}/{n}" for n in ("src", "out", "chk"))
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
     rows = [("x", s, i) for i, s in enumerate((0, 59, 60, 100, 121, 2000, 2010, 2060, 5000))]
     feed(spark, src, rows[:3])
     feed(spark, src, rows[3:6])
     feed(spark, src, rows[6:])
-    drain(S.reuse_stream(stream(spark, src), "client", "ts", "id"), out, chk)
-    got = {r["id"]: (r["computed_us"], r["hit"]) for r in spark.read.parquet(out).collect()}
+    S.reuse_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    got = {r["id"]: (r["computed_us"], r["hit"]) for r in read_output(spark, root).collect()}
     batch = serving.reuse_results(spark.read.parquet(src), "client", "ts", "id").collect()
     assert got == {r["id"]: (r["computed_us"], r["hit"]) for r in batch}
     assert [i for i in sorted(got) if not got[i][1]] == [0, 2, 4, 5, 7, 8]
