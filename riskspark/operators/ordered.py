@@ -20,6 +20,19 @@ from pyspark.sql import functions as F
 from riskspark.session import shared_dir
 
 SLICE = "_slice"
+# A slice is handled by one task: aim at this many bytes of input each.
+SLICE_BYTES = 256 * 2**20
+MOST_SLICES = 20_000
+
+
+def slice_count(df: DataFrame) -> int:
+    """Enough slices for the estimated size of the input, at least the shuffle partitions.
+
+    The upper limit guards against wild estimates and bounds what is broadcast.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(least, min(-(-size // SLICE_BYTES), MOST_SLICES))
 
 
 def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -30,7 +43,7 @@ def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     spark = df.sparkSession
     shared_dir(spark)
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or slice_count(df)
     return (df.repartitionByRange(slices, *[F.col(c) for c in (*keys, *order)])
             .withColumn(SLICE, F.spark_partition_id())
             .checkpoint())

@@ -72,7 +72,7 @@ def run_stateful(df: DataFrame, ts: str, step: Step, remember: Step, expiry: str
             clock = newest if clock is None else max(newest, clock)
             target = f"{root}/state/{number}"
             rows.where(F.col(expiry) > clock - delay).write.mode("overwrite").parquet(f"{target}/rows")
-            (spark.createDataFrame([(clock,)], "clock_us bigint")
+            (spark.range(1).select(F.lit(clock).alias("clock_us"))
              .write.mode("overwrite").parquet(f"{target}/clock"))
         finally:
             batch.unpersist()
