@@ -31,7 +31,7 @@ def slice_count(df: DataFrame) -> int:
     The upper limit guards against wild estimates and bounds what is broadcast.
     """
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return max(least, min(-(-size // SLICE_BYTES), MOST_SLICES))
 
 

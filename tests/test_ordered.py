@@ -61,3 +61,21 @@ def test_carried_rows_are_fewer_than_slices(df):
 def test_empty(spark):
     empty = spark.createDataFrame([], "k string, t int, id int, v double")
     assert running_number(empty, ["k"], ["t", "id"]).count() == 0
+
+
+def test_slices_grow_with_the_input(spark):
+    from riskspark.operators.ordered import MOST_SLICES, slice_count
+
+    small, large = spark.range(1000), spark.range(10**10)
+    assert slice_count(small) == 4
+    assert 250 < slice_count(large) < 350  # 8 bytes a row, 256 MiB a slice
+    assert slice_count(large.crossJoin(spark.range(10**9).toDF("b"))) == MOST_SLICES
+
+
+def test_earlier_rows_are_counted_in(spark, df):
+    earlier = spark.createDataFrame([("hot", 7), (None, 2), ("gone", 5)], "k string, rows bigint")
+    plain = running_number(df, ["k"], ["t", "id"], "n", 5).select("id", "n")
+    shifted = running_number(df, ["k"], ["t", "id"], "m", 5, earlier).select("id", "k", "m")
+    added = F.when(F.col("k") == "hot", 7).when(F.col("k").isNull(), 2).otherwise(0)
+    assert shifted.join(plain, "id").where(F.col("m") != F.col("n") + added).count() == 0
+    assert shifted.count() == df.count()
