@@ -23,16 +23,20 @@ SLICE = "_slice"
 # A slice is handled by one task: aim at this many bytes of input each.
 SLICE_BYTES = 256 * 2**20
 MOST_SLICES = 20_000
+UNKNOWN_BYTES = 2**62
 
 
 def slice_count(df: DataFrame) -> int:
-    """Enough slices for the estimated size of the input, at least the shuffle partitions.
+    """Enough slices for the size of what is read, at least the shuffle partitions.
 
-    The upper limit guards against wild estimates and bounds what is broadcast.
+    The sizes of the plan's sources are added up: the estimate of a whole plan multiplies
+    the sides of a join and is useless here. A source of unknown size does not count.
     """
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(least, min(-(-size // SLICE_BYTES), MOST_SLICES))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    known = sum(s for s in sizes if s < UNKNOWN_BYTES)
+    return max(least, min(-(-known // SLICE_BYTES), MOST_SLICES))
 
 
 def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.ordered import SLICE, running_fold, running_number, slice_by_order
+from riskspark.operators.ordered import (MOST_SLICES, SLICE, running_fold, running_number,
+                                         slice_by_order, slice_count)
 
 
 def hot_rows(seed, n=400):
@@ -64,12 +65,17 @@ def test_empty(spark):
 
 
 def test_slices_grow_with_the_input(spark):
-    from riskspark.operators.ordered import MOST_SLICES, slice_count
-
     small, large = spark.range(1000), spark.range(10**10)
     assert slice_count(small) == 4
     assert 250 < slice_count(large) < 350  # 8 bytes a row, 256 MiB a slice
-    assert slice_count(large.crossJoin(spark.range(10**9).toDF("b"))) == MOST_SLICES
+    assert slice_count(spark.range(10**15)) == MOST_SLICES
+
+
+def test_slices_of_a_chain_of_operators(df):
+    """Neither a join of carried rows nor a checkpoint inflates the estimate."""
+    once = running_number(df, ["k"], ["t", "id"], "n")
+    assert slice_count(once) == 4
+    assert slice_count(running_number(once, ["k"], ["t", "id"], "m")) == 4
 
 
 def test_earlier_rows_are_counted_in(spark, df):
