@@ -29,7 +29,7 @@ from riskspark.spec import REGIONAL  # noqa: E402
 
 CHECKED = [
     "null_counts", "duplicate_rows", "feature_moments", "split_sizes", "write_prepared",
-    "standardise", "scaler_pipeline_model", "validate_accepted", "evaluate_models",
+    "standardise", "scaler_model", "validate_accepted", "evaluate_models",
     "score_linear_columns", "batch_score_requests", "band_report", "row_summary", "top_factors",
     "expand_scenarios", "wide_to_long", "linear_grid_search", "held_out_bands",
     "number_history", "recent_history", "rate_limit", "cooldown", "reuse_results",

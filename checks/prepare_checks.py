@@ -139,7 +139,7 @@ def standardise(spark, sf_dir):
 
 
 @check(f"WITH {FX_SQL}, {STATS_SQL} SELECT id, {SCALED_SQL} FROM fx, stats")
-def scaler_pipeline_model(spark, sf_dir):
+def scaler_model(spark, sf_dir):
     df = fx(spark, sf_dir)
     train = split.hash_split(df, "id", FX).where("split = 'train'")
     model = scaling.fit_scaler_model(train, FX_FEATURES)

@@ -58,7 +58,8 @@ def stream_reuse(spark, sf_dir):
 
 
 @check("""SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-11'
-          AND ts < TIMESTAMP '2024-01-21' AND epoch_us(ts) < (SELECT max(epoch_us(ts)) - 600000000 FROM events)""")
+          AND ts < TIMESTAMP '2024-01-21'
+          AND epoch_us(ts) < (SELECT max(epoch_us(ts)) - 600000000 FROM events)""")
 def stream_late_rows(spark, sf_dir):
     """The middle third arrives last; all of it is behind the watermark and set aside."""
     root = work_path(spark, "late")

@@ -29,6 +29,8 @@ FX1 = JobSpec(features=("l_extendedprice",), target="y")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # The tables hold times without zone; both sides read them as UTC.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -55,9 +57,9 @@ FX_SQL = """fx AS (
 def rx(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = fx(spark, sf_dir).select("id", "y")
     names = [*REGIONAL.features, *REGIONAL.dropped]
-    spread = random_scenario(base, "id", names)
+    features = random_scenario(base, "id", names)
     total = sum((F.col(f) for f in REGIONAL.features[1:]), F.col(REGIONAL.features[0]))
-    return spread.withColumn(REGIONAL.target, (total - 17) / F.lit(306) + F.col("y") / 2).drop("y")
+    return features.withColumn(REGIONAL.target, (total - 17) / F.lit(306) + F.col("y") / 2).drop("y")
 
 
 def _rx_sql() -> str:

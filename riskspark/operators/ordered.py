@@ -22,7 +22,7 @@ from riskspark.session import shared_dir
 SLICE = "_slice"
 # A slice is handled by one task: aim at this many bytes of input each.
 SLICE_BYTES = 256 * 2**20
-MOST_SLICES = 20_000
+MOST_SLICES = 50_000
 UNKNOWN_BYTES = 2**62
 
 

@@ -106,7 +106,8 @@ def reuse_results(df: DataFrame, key: str, ts: str, id: str, seconds: int = REUS
 
     A request is a hit if its key was computed less than ``seconds`` ago; only a miss
     computes, so hits do not prolong a result. The next computation after one at t is the
-    first request at or after t + seconds.
+    first request at or after t + seconds. All columns of ``df`` travel along: select the
+    needed ones first.
 
     A hot key spreads over many slices. For each of its slices a task works out where the
     chain of computations leaves the slice for every way of entering it. Mostly that is one

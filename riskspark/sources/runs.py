@@ -22,6 +22,7 @@ SCORES_SCHEMA = ("run_timestamp string, best_model string, best_run_id string, b
 REGISTRY_SCHEMA = ("model_name string, algorithm string, run_id string, best_rmse double, "
                    "version int, versioned_path string, latest_path string, "
                    "completed_at timestamp")
+# --- Fixed values: names in the model store and of a run without a model. ---
 VERSION_PREFIX = "best_model_v"
 UNKNOWN_MODEL = "UnknownModel"
 

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from riskspark.operators.serving import (latest_result, rate_limit, reuse_results, window_counts,
-                                         window_start)
+from riskspark.operators.serving import (latest_result, rate_limit, reuse_results,
+                                         window_counts)
 from riskspark.plans.scoring import score_requests
 from riskspark.spec import JobSpec, REQUESTS_PER_WINDOW, REUSE_SECONDS, WINDOW_SECONDS
 from riskspark.streaming.stateful import run_stateful
