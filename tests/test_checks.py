@@ -20,5 +20,5 @@ def test_query(spark, con, sf, name):
 def test_entry_lists_every_query():
     import __spark_entry__ as entry
 
-    assert entry.queries().keys() == QUERIES.keys()
+    assert entry.queries().keys() == QUERIES.keys() | entry.LLM_QUERIES.keys()
     assert set(entry.oracle_sql()) <= set(entry.queries())
