@@ -21,7 +21,8 @@ import zlib
 import numpy as np
 
 MAGIC = b"IDCM1"
-HEADER = struct.Struct("<5sIIIII")  # magic, ids, vocabulary, lanes, crc of ids, crc of the rest
+HEADER = struct.Struct("<5sIIII")  # magic, ids, vocabulary, lanes, crc of the ids
+CHECK = struct.Struct("<I")  # crc of all other bytes
 LANES = 4096
 LANE_IDS = 256
 TABLE_BITS = 18
@@ -256,17 +257,18 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
             model.update(now, hit2, hit1, rest)
             last, before = now.astype(np.int64), last
         body = coder.finish()
-    return HEADER.pack(MAGIC, len(ids), vocabulary, lanes,
-                       zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
+    head = HEADER.pack(MAGIC, len(ids), vocabulary, lanes, zlib.crc32(ids.astype("<u4").tobytes()))
+    return head + CHECK.pack(zlib.crc32(head + body)) + body
 
 
 def decode_block(data: bytes) -> np.ndarray:
     """The ids of a block; raises ValueError if it is damaged."""
-    if len(data) < HEADER.size:
+    first = HEADER.size + CHECK.size
+    if len(data) < first:
         raise ValueError("not a block of ids")
-    magic, count, vocabulary, lanes, ids_crc, body_crc = HEADER.unpack_from(data)
-    body = data[HEADER.size:]
-    if magic != MAGIC or zlib.crc32(body) != body_crc or lanes != _layout(count)[0]:
+    head, body = data[:HEADER.size], data[first:]
+    magic, count, vocabulary, lanes, ids_crc = HEADER.unpack(head)
+    if magic != MAGIC or CHECK.unpack_from(data, HEADER.size)[0] != zlib.crc32(head + body):
         raise ValueError("damaged block of ids")
     if not lanes:
         return np.zeros(0, np.int64)
