@@ -178,9 +178,9 @@ def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     turn = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30))
     chosen = named.where(turn < int(min(1.0, fit_rows / count) * (1 << 30)))
     rows = (stats.join(chosen.select(doc_id, F.col(label).cast("double").alias("label")), doc_id)
-            .select("stats", "label", (F.pmod(F.xxhash64(doc_id, F.lit(seed + 1)), F.lit(4)) == 0)
+            .select(doc_id, "stats", "label", (F.pmod(F.xxhash64(doc_id, F.lit(seed + 1)), F.lit(4)) == 0)
                     .alias("calibrates"))
-            .repartition(FIT_PARTITIONS, "stats").checkpoint())
+            .repartition(FIT_PARTITIONS, F.xxhash64(doc_id)).checkpoint())
     fits, calibrates = rows.where("NOT calibrates"), rows.where("calibrates")
     sums = _summed(fits, lambda x, y: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]))
     if sums is None:
