@@ -46,11 +46,11 @@ def assemble_vector(spark, sf_dir):
                     values[1].alias("second"), F.size(values).alias("n")))
 
 
-@check("""SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
-                 CAST(embedding[3] AS DOUBLE) AS x2, label FROM embeddings""")
+@check("SELECT vec_id, label, " + ", ".join(
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(64)) + " FROM embeddings")
 def expand_vector(spark, sf_dir):
     vectors = prepare.vector_from_array(table(spark, sf_dir, "embeddings"), "embedding")
-    return prepare.expand_vector(vectors.drop("embedding"), "features", ["x0", "x1", "x2"])
+    return prepare.expand_vector(vectors.drop("embedding"), "features", [f"x{i}" for i in range(64)])
 
 
 BAD_SQL = """bad AS (
@@ -80,6 +80,27 @@ def bad_requests(spark, sf_dir):
         .alias("l_discount"))
 
 
+@check("""SELECT l_orderkey, l_linenumber, l_partkey, concat_ws('; ', CASE
+    WHEN l_quantity < 6 THEN 'out of range: l_quantity' END, 'missing: l_colour') AS reason FROM lineitem""")
+def validate_lacking_column(spark, sf_dir):
+    """A feature that the table lacks rejects every row; one bound alone is a range."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    checked = prepare.validate(items, ["l_quantity", "l_colour"], low=6)
+    none = prepare.accepted(checked, ["l_quantity", "l_colour"]).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.lit("accepted").alias("reason"))
+    return prepare.rejected(checked).drop("l_quantity").unionByName(none)
+
+
+@check("""SELECT l_orderkey, l_linenumber, l_partkey, l_linenumber IN (1, 2, 3) AS good FROM lineitem""")
+def validate_number_text(spark, sf_dir):
+    """What a cast takes beyond plain numbers is no number."""
+    forms = F.array(*map(F.lit, ("5", " -5.5e1 ", ".5", "5d", "1f", "Infinity", "0x1")))
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", forms[F.col("l_linenumber") - 1].alias("text"))
+    return prepare.validate(items, ["text"]).select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("ok").alias("good"))
+
+
 VALIDATED = ["l_quantity", "l_tax", "l_discount"]
 
 

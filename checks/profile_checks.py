@@ -7,6 +7,7 @@ from checks.tables import FX, FX_FEATURES, FX_SQL, RX_SQL, SPLIT_SQL, fx, rx, ta
 from riskspark.operators import profile
 from riskspark.operators.reshape import to_long
 from riskspark.operators.split import hash_split
+from riskspark.spec import REGIONAL
 
 # Nulls and NaNs do not occur in the tables; both sides put the same ones in.
 HOLES_SQL = """holes AS (
@@ -77,10 +78,10 @@ def feature_moments(spark, sf_dir):
 
 @check(f"""WITH {RX_SQL} SELECT feature, count(*) AS n_rows, CAST(sum(value) AS BIGINT) AS total,
   CAST(min(value) AS BIGINT) AS lowest, CAST(max(value) AS BIGINT) AS highest FROM (
-  UNPIVOT (SELECT MonsoonIntensity, Siltation, WetlandLoss FROM rx)
-  ON MonsoonIntensity, Siltation, WetlandLoss INTO NAME feature VALUE value) GROUP BY feature""")
+  UNPIVOT (SELECT {', '.join(REGIONAL.features)} FROM rx)
+  ON {', '.join(REGIONAL.features)} INTO NAME feature VALUE value) GROUP BY feature""")
 def random_scenario_report(spark, sf_dir):
-    long = to_long(rx(spark, sf_dir), [], ["MonsoonIntensity", "Siltation", "WetlandLoss"])
+    long = to_long(rx(spark, sf_dir), [], list(REGIONAL.features))
     return long.groupBy("feature").agg(
         F.count("*").alias("n_rows"), F.sum("value").cast("bigint").alias("total"),
         F.min("value").cast("bigint").alias("lowest"), F.max("value").cast("bigint").alias("highest"))

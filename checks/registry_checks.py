@@ -161,20 +161,20 @@ def champion_pointer(spark, sf_dir):
 
 
 def _registry(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("int").alias("version"),
-        F.concat(F.when(F.col("o_orderkey") % 3 == 0, "models/best_model_latest")
-                 .otherwise("models/best_model_v"), F.col("o_custkey").cast("string")).alias("versioned_path"))
+        F.concat(F.when(F.col("o_orderkey") % 3 == 0, "best_model_v_store/best_model_latest")
+                 .otherwise("best_model_v_store/best_model_v"), F.col("o_custkey").cast("string")).alias("versioned_path"))
 
 
 @check("""SELECT count(*) AS n_versions, CAST(coalesce(max(o_custkey), 0) + 1 AS INTEGER) AS next_version
-          FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0""")
+          FROM orders WHERE o_orderkey % 3 <> 0""")
 def model_versions(spark, sf_dir):
     return R.versions(_registry(spark, sf_dir))
 
 
 @check("""SELECT 'best_model_v' || o_custkey AS name, count(*) AS n FROM orders
-          WHERE o_orderstatus = 'F' AND o_orderkey % 3 <> 0 GROUP BY 1""")
+          WHERE o_orderkey % 3 <> 0 GROUP BY 1""")
 def versioned_names(spark, sf_dir):
     names = _registry(spark, sf_dir).select(F.substring_index("versioned_path", "/", -1).alias("name"))
     return R.versioned_names(names).groupBy("name").agg(F.count("*").alias("n"))

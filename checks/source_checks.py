@@ -14,20 +14,18 @@ from riskspark.spec import REGIONAL
 SAMPLE_LIST = "[" + ", ".join(FX_FEATURES) + "]"
 
 
-@check("SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem")
+@check("SELECT * FROM lineitem")
 def read_source(spark, sf_dir):
-    df = files.read_source(spark, f"{sf_dir}/lineitem.parquet", "parquet")
-    return df.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return files.read_source(spark, f"{sf_dir}/lineitem.parquet", "parquet")
 
 
-@check("""SELECT p_partkey AS key, p_name AS name, p_retailprice AS price FROM part""")
+@check("SELECT * FROM part")
 def write_csv(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("key"), F.col("p_name").alias("name"),
-        F.col("p_retailprice").alias("price"))
+    part = table(spark, sf_dir, "part")
     path = work_path(spark, "csv")
     files.write_csv(part, path)
-    return files.read_csv(spark, path, "key bigint, name string, price double")
+    return files.read_csv(spark, path, part.schema)
 
 
 @check("""SELECT CAST(l_linenumber AS INTEGER) AS l_linenumber, l_returnflag,

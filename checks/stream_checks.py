@@ -38,7 +38,7 @@ def drained(spark, df, mode="append"):
     path = work_path(spark, "stream")
     query = E.write_stream(df, path, work_path(spark, "stream-checkpoint"), mode)
     query.awaitTermination()
-    return spark.read.parquet(path)
+    return spark.read.parquet(path) if mode == "append" else E.read_complete(spark, path)
 
 
 @check(f"WITH {LIMITED_SQL} SELECT event_id, user_id, window_us, position, allowed FROM limited")
@@ -54,6 +54,17 @@ def stream_reuse(spark, sf_dir):
     root = work_path(spark, "reused")
     S.reuse_stream(event_feed(spark, sf_dir), "event_type", "ts", "event_id", root,
                    600).awaitTermination()
+    S.reuse_release(spark, "event_type", "ts", "event_id", root, 600)
+    return read_output(spark, root).select("event_id", "computed_us", "hit")
+
+
+@check(_reuse_sql(600, "SELECT event_id, computed_us, hit FROM flagged"))
+def stream_reuse_out_of_order(spark, sf_dir):
+    """The last third arrives before the middle one; a delay of 30 days keeps all in time."""
+    root = work_path(spark, "reused")
+    S.reuse_stream(event_feed(spark, sf_dir, order=(0, 2, 1)), "event_type", "ts", "event_id", root,
+                   600, 30 * 86_400).awaitTermination()
+    S.reuse_release(spark, "event_type", "ts", "event_id", root, 600)
     return read_output(spark, root).select("event_id", "computed_us", "hit")
 
 

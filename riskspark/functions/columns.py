@@ -196,3 +196,10 @@ def remaining_seconds(now_us: str | Column, since_us: str | Column,
 
 def short_text(value: str | Column, length: int = 200) -> Column:
     return F.substring(_c(value), 1, length)
+
+
+def of_size(values: Column, size: int, name: str) -> Column:
+    """An array of exactly ``size`` elements; a null stays null, any other size is an error."""
+    found = F.concat(F.lit(f"{name} holds "), F.size(values).cast("string"),
+                     F.lit(f" values where {size} are named"))
+    return F.when(values.isNull() | (F.size(values) == size), values).otherwise(F.raise_error(found))

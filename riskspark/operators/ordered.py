@@ -6,8 +6,9 @@ many of them. Each slice is numbered or folded on its own, and what a key brings
 from earlier slices is added afterwards. At most one key continues into any slice, so
 that carried table has fewer rows than there are slices and is safe to broadcast.
 
-The slice number is data-dependent, therefore the sliced rows are checkpointed: slices
-stay the same however often a lost task is run again.
+The slice number is data-dependent, therefore the sliced rows are written as a Parquet table
+in the shared folder: slices stay the same however often a lost task is run again, and each
+later step reads the columns that it needs. ``clear_work`` removes such tables.
 """
 
 from __future__ import annotations
@@ -17,26 +18,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.session import shared_dir
+from riskspark.session import work_path
 
 SLICE = "_slice"
 # A slice is handled by one task: aim at this many bytes of input each.
 SLICE_BYTES = 256 * 2**20
-MOST_SLICES = 50_000
 UNKNOWN_BYTES = 2**62
 
 
-def slice_count(df: DataFrame) -> int:
-    """Enough slices for the size of what is read, at least the shuffle partitions.
+def _bytes_read(df: DataFrame) -> int:
+    """Size of what a plan reads: the sum over its sources, as Spark knows them.
 
-    The sizes of the plan's sources are added up: the estimate of a whole plan multiplies
-    the sides of a join and is useless here. A source of unknown size does not count.
+    The estimate of a whole plan multiplies the sides of a join and is useless here. If the
+    size of a source is not known, the rows are counted instead, at the width of their types.
     """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
     sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
-    known = sum(s for s in sizes if s < UNKNOWN_BYTES)
-    return max(least, min(-(-known // SLICE_BYTES), MOST_SLICES))
+    if all(s < UNKNOWN_BYTES for s in sizes):
+        return sum(sizes)
+    return df.count() * int(df._jdf.schema().defaultSize())
+
+
+def slice_count(df: DataFrame) -> int:
+    """One slice for each ``SLICE_BYTES`` of input, at least the shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-_bytes_read(df) // SLICE_BYTES))
 
 
 def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -44,13 +51,13 @@ def slice_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Add the number of the range slice a row falls into.
 
     ``order`` must end in a unique column, so that no group of equal rows is unbounded.
+    ``slices`` says how many; without it, ``slice_count`` does.
     """
     spark = df.sparkSession
-    shared_dir(spark)
-    slices = slices or slice_count(df)
-    return (df.repartitionByRange(slices, *[F.col(c) for c in (*keys, *order)])
-            .withColumn(SLICE, F.spark_partition_id())
-            .checkpoint())
+    path = work_path(spark, "slices")
+    (df.repartitionByRange(slices or slice_count(df), *[F.col(c) for c in (*keys, *order)])
+     .withColumn(SLICE, F.spark_partition_id()).write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def join_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str],

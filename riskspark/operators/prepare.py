@@ -8,10 +8,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from riskspark.functions import columns as C
 from riskspark.spec import DEFAULT_VALUE, JobSpec
 
+PLAIN_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Drop columns; unknown names are ignored."""
@@ -44,9 +47,9 @@ def vector_from_array(df: DataFrame, column: str, out: str = "features") -> Data
 
 
 def expand_vector(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
-    """Replace a vector column by one named column per element."""
+    """Replace a vector column by one named column per element; another size is an error."""
     kept = [c for c in df.columns if c != column and c not in names]
-    values = df.withColumn("_values", vector_to_array(column))
+    values = df.withColumn("_values", C.of_size(vector_to_array(column), len(names), column))
     return values.select(*kept, *[F.col("_values")[i].alias(n) for i, n in enumerate(names)])
 
 
@@ -54,20 +57,27 @@ def validate(df: DataFrame, features: Sequence[str], low: float | None = None,
              high: float | None = None) -> DataFrame:
     """Check that every feature is present, numeric and (optionally) within ``low..high``.
 
-    Adds ``reasons`` (array of text, empty for a good row) and ``ok``. A feature that the
+    Either bound may be left open. Text must be a plain decimal number, with or without an
+    exponent: what a cast takes beside that (``5d``, ``Infinity``) is no number.
+
+    Adds ``reason`` (all reasons as one text, empty for a good row) and ``ok``. A feature that the
     table lacks is missing in every row; columns beyond the features are left alone.
     """
     checks = []
     for f in features:
         raw = F.col(f) if f in df.columns else F.lit(None).cast("string")
         number = raw.try_cast("double")
-        check = (F.when(raw.isNull(), f"missing: {f}")
-                 .when(number.isNull() | F.isnan(number), f"not a number: {f}"))
-        if low is not None and high is not None:
-            check = check.when(~number.between(low, high), f"out of range: {f}")
+        bad = number.isNull() | F.isnan(number)
+        if f not in df.columns or isinstance(df.schema[f].dataType, StringType):
+            bad = bad | ~F.trim(raw).rlike(PLAIN_NUMBER)
+        check = F.when(raw.isNull(), f"missing: {f}").when(bad, f"not a number: {f}")
+        outside = [number < low] * (low is not None) + [number > high] * (high is not None)
+        for side in outside:
+            check = check.when(side, f"out of range: {f}")
         checks.append(check)
-    reasons = F.filter(F.array(*checks), lambda r: r.isNotNull())
-    return df.withColumn("reasons", reasons).withColumn("ok", F.size("reasons") == 0)
+    # concat_ws skips nulls and stays in generated code.
+    return (df.withColumn("reason", F.concat_ws("; ", *checks))
+            .withColumn("ok", F.col("reason") == ""))
 
 
 def features_from_map(df: DataFrame, mapping: str, features: Sequence[str],
@@ -77,13 +87,12 @@ def features_from_map(df: DataFrame, mapping: str, features: Sequence[str],
 
 
 def accepted(validated: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Good rows, with the features as doubles."""
-    return (validated.where("ok").drop("ok", "reasons")
-            .withColumns({f: F.col(f).cast("double") for f in features}))
+    """Good rows, with the features as doubles. A feature that the table lacks leaves no row."""
+    return (validated.where("ok").drop("ok", "reason")
+            .withColumns({f: (F.col(f) if f in validated.columns else F.lit(None)).cast("double")
+                          for f in features}))
 
 
 def rejected(validated: DataFrame) -> DataFrame:
-    """Bad rows with the joined reason text."""
-    return (validated.where("not ok")
-            .withColumn("reason", F.substring(F.array_join("reasons", "; "), 1, 200))
-            .drop("ok", "reasons"))
+    """Bad rows with all their reasons as one text."""
+    return validated.where("not ok").drop("ok")

@@ -107,7 +107,8 @@ def reuse_results(df: DataFrame, key: str, ts: str, id: str, seconds: int = REUS
     A request is a hit if its key was computed less than ``seconds`` ago; only a miss
     computes, so hits do not prolong a result. The next computation after one at t is the
     first request at or after t + seconds. All columns of ``df`` travel along: select the
-    needed ones first.
+    needed ones first. A null key is a key; a request without a time is no hit and computes
+    nothing that others could use (``computed_us`` null).
 
     A hot key spreads over many slices. For each of its slices a task works out where the
     chain of computations leaves the slice for every way of entering it. Mostly that is one
@@ -115,25 +116,30 @@ def reuse_results(df: DataFrame, key: str, ts: str, id: str, seconds: int = REUS
     the entries known, all slices mark their computations independently.
     """
     ttl = seconds * 1_000_000
-    sliced = slice_by_order(df.withColumn("_us", C.micros(ts)), [key], ["_us", id], slices)
+    timed = df.withColumn("_us", C.micros(ts))
+    sliced = slice_by_order(timed.where("_us is not null"), [key], ["_us", id], slices)
     entries = _reuse_entries(sliced, key, ttl)
-    entered = join_carry(sliced, entries, [key])
-    key_type = dict(df.dtypes)[key]
-    computed = (entered.select(SLICE, F.col(key).alias("_key"), "_us", "_entry_us")
+    # A slice's keys go to Python as whole numbers: nulls and long keys stay in the JVM.
+    entered = join_carry(sliced, entries, [key]).withColumn(
+        "_code", F.dense_rank().over(Window.partitionBy(SLICE).orderBy(key)))
+    computed = (entered.select(SLICE, F.col("_code").alias("_key"), "_us", "_entry_us")
                 .groupBy(SLICE)
                 .applyInPandas(_mark_computations(SLICE, ttl),
-                               f"{SLICE} int, _key {key_type}, _miss_us bigint"))
+                               f"{SLICE} int, _key int, _miss_us bigint"))
     # The computations join their requests as marks in front of them: one more shuffle, no join.
-    marks = computed.select(SLICE, F.col("_key").alias(key), F.col("_miss_us").alias("_us"),
+    marks = computed.select(SLICE, F.col("_key").alias("_code"), F.col("_miss_us").alias("_us"),
                             F.lit(0).alias("_row"))
     both = entered.withColumn("_row", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-    order = Window.partitionBy(SLICE, key).orderBy("_us", "_row", id)
+    order = Window.partitionBy(SLICE, "_code").orderBy("_us", "_row", id)
     last = F.last(F.when(F.col("_row") == 0, F.col("_us")), ignorenulls=True).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # The request right behind a mark is the one that computes.
-    return (both.withColumn("hit", F.coalesce(F.lag("_row").over(order) == 1, F.lit(True)))
-            .withColumn("computed_us", F.coalesce(last, F.col("_entry_us")))
-            .where("_row = 1").drop(SLICE, "_us", "_entry_us", "_row"))
+    served = (both.withColumn("hit", F.coalesce(F.lag("_row").over(order) == 1, F.lit(True)))
+              .withColumn("computed_us", F.coalesce(last, F.col("_entry_us")))
+              .where("_row = 1").drop(SLICE, "_us", "_entry_us", "_row", "_code"))
+    untimed = (timed.where("_us is null").drop("_us").withColumn("hit", F.lit(False))
+               .withColumn("computed_us", F.lit(None).cast("bigint")))
+    return served.unionByName(untimed)
 
 
 def _reuse_entries(sliced: DataFrame, key: str, ttl: int) -> DataFrame:
@@ -179,7 +185,7 @@ def _slice_steps(slice_name: str, ttl: int):
         ends = np.append(np.flatnonzero(leave[1:] != leave[:-1]), reach)
         settled = len(ends) == 1 and times[0] + ttl <= times[-1]
         return pd.DataFrame({
-            slice_name: pdf[slice_name].iloc[:1].to_numpy(), "_key": pdf["_key"].iloc[:1].to_numpy(),
+            slice_name: pdf[slice_name].iloc[:1].to_numpy(), "_key": pdf["_key"].iloc[:1].array,
             "last_us": [int(times[-1])], "upto": [times[ends].tolist()],
             "leaves": [times[leave[ends]].tolist()], "settled": [bool(settled)]})
     return steps

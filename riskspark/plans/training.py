@@ -14,10 +14,8 @@ from riskspark.operators.evaluate import (SCORE_NAMES, champion, diagnose, evalu
 from riskspark.operators.models import (SearchResult, grid_search, linear_grid_search,
                                         make_estimator)
 from riskspark.operators.prepare import assemble
-from riskspark.plans.preparation import EXPERIMENT as PREPARATION
 from riskspark.plans.preparation import Prepared
 from riskspark.sources import runs as R
-from riskspark.sources.files import spread
 from riskspark.spec import JobSpec
 
 EXPERIMENT = "Training"
@@ -41,7 +39,7 @@ def tournament(rows: DataFrame, spec: JobSpec, parallelism: int = 4) -> Tourname
     and measured on both splits in a single pass.
     """
     spark = rows.sparkSession
-    vectors = assemble(spread(rows), spec.features).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = assemble(rows, spec.features).persist(StorageLevel.MEMORY_AND_DISK)
     train = vectors.where("split = 'train'")
     searches, models, scored = {}, {}, vectors
     try:
@@ -78,9 +76,7 @@ def train(prepared: Prepared, spec: JobSpec, root: str, run_timestamp: str,
     """Run the job on prepared rows; returns the champion's run id."""
     spark = SparkSession.active()
     runs_path = f"{root}/runs"
-    history = R.read_runs(spark, runs_path)
-    latest = R.latest_run(R.successful_runs(history, PREPARATION)).first()
-    preparation_id = latest["run_id"] if latest else None
+    preparation_id = prepared.run_id
 
     result = tournament(spark.read.parquet(prepared.data_path), spec, parallelism)
     scaler = R.load_model(spark, prepared.scaler_path)

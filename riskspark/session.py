@@ -52,3 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written work table inside the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/work/{name}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete the work tables of this session's shared folder once nothing reads them any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/work")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -18,18 +17,6 @@ def read_source(spark: SparkSession, path: str | list[str], fmt: str = "parquet"
     return reader.load(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that is stored in too few pieces.
-
-    A table of many files comes back unchanged; only one that is scanned by fewer tasks
-    than there are cores, hence a small one, is shuffled once before costly work.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[F.col(f"`{c}`") for c in df.columns])
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header. Without a schema the types are inferred, at the cost of another pass."""
     if schema is not None:

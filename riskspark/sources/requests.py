@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.functions import columns as C
 from riskspark.spec import JobSpec
 
 CORRUPT = "_corrupt_record"
@@ -33,9 +34,10 @@ def parse_requests(df: DataFrame, json_col: str, features: Sequence[str]) -> Dat
 
 
 def requests_to_df(df: DataFrame, values: str, features: Sequence[str]) -> DataFrame:
-    """One column per feature from an ordered array of values."""
+    """One column per feature from an ordered array of values; another size is an error."""
+    sized = C.of_size(F.col(values), len(features), values)
     return df.select(*[c for c in df.columns if c != values],
-                     *[F.col(values)[i].cast("double").alias(f) for i, f in enumerate(features)])
+                     *[sized[i].cast("double").alias(f) for i, f in enumerate(features)])
 
 
 def response_json(df: DataFrame, ids: Sequence[str]) -> DataFrame:

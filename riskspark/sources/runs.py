@@ -189,7 +189,8 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel:
 
 def versions(registry: DataFrame) -> DataFrame:
     """``n_versions`` and ``next_version`` of a registry; gaps never lead to an overwrite."""
-    return (registry.where(F.col("versioned_path").contains(VERSION_PREFIX))
+    name = F.element_at(F.split("versioned_path", "/"), -1)
+    return (registry.where(name.startswith(VERSION_PREFIX))
             .agg(F.count(F.lit(1)).alias("n_versions"),
                  (F.coalesce(F.max("version"), F.lit(0)) + 1).alias("next_version")))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,7 +11,7 @@ from riskspark.operators.serving import (latest_result, rate_limit, reuse_result
                                          window_counts)
 from riskspark.plans.scoring import score_requests
 from riskspark.spec import JobSpec, REQUESTS_PER_WINDOW, REUSE_SECONDS, WINDOW_SECONDS
-from riskspark.streaming.stateful import run_stateful
+from riskspark.streaming.stateful import release, run_stateful
 
 
 def rate_limit_stream(df: DataFrame, client: str, ts: str, id: str, root: str,
@@ -38,9 +38,24 @@ def reuse_stream(df: DataFrame, key: str, ts: str, id: str, root: str,
                  seconds: int = REUSE_SECONDS, delay_seconds: int = 600) -> StreamingQuery:
     """The batch result reuse over a stream; the state is the last computation per key.
 
-    It takes part in the next batch as that key's first request, and so serves or expires
-    exactly as it would have in one long batch.
+    Rows wait until the delay has closed their time, so they are served in time order, however
+    they arrive. The last computation takes part in the next stretch as its key's first
+    request, and so serves or expires exactly as it would have in one long batch. Call
+    ``reuse_release`` at the end of a stream for what still waits.
     """
+    step = _reuse_step(key, ts, id, seconds)
+
+    def remember(output, state):
+        computed = output.select(key, "computed_us")
+        if state is not None:
+            computed = computed.unionByName(state.drop("expiry_us"))
+        return (computed.groupBy(key).agg(F.max("computed_us").alias("computed_us"))
+                .withColumn("expiry_us", F.col("computed_us") + seconds * 1_000_000))
+
+    return run_stateful(df, ts, step, remember, "expiry_us", root, delay_seconds, in_order=True)
+
+
+def _reuse_step(key: str, ts: str, id: str, seconds: int):
     def step(batch, state):
         rows = batch.withColumn("_earlier", F.lit(False))
         if state is not None:
@@ -49,15 +64,13 @@ def reuse_stream(df: DataFrame, key: str, ts: str, id: str, root: str,
             rows = rows.unionByName(first, allowMissingColumns=True)
         served = reuse_results(rows, key, ts, id, seconds)
         return served.where("not _earlier").drop("_earlier")
+    return step
 
-    def remember(output, state):
-        computed = output.select(key, "computed_us")
-        if state is not None:
-            computed = computed.unionByName(state.drop("expiry_us"))
-        return (computed.groupBy(key).agg(F.max("computed_us").alias("computed_us"))
-                .withColumn("expiry_us", F.col("computed_us") + seconds * 1_000_000))
 
-    return run_stateful(df, ts, step, remember, "expiry_us", root, delay_seconds)
+def reuse_release(spark: SparkSession, key: str, ts: str, id: str, root: str,
+                  seconds: int = REUSE_SECONDS) -> None:
+    """Serve the requests that still wait when a ``reuse_stream`` has ended."""
+    release(spark, root, _reuse_step(key, ts, id, seconds))
 
 
 def window_counts_stream(df: DataFrame, client: str, ts: str, limit: int = REQUESTS_PER_WINDOW,

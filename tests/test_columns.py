@@ -95,13 +95,21 @@ def test_validate(spark):
     rows = [("1", "2"), (None, "2"), ("x", "2"), ("0", "11"), ("NaN", "10"), ("1", "10")]
     df = spark.createDataFrame(rows, "a string, b string").withColumn("extra", F.lit(1))
     checked = prepare.validate(df, ["a", "b"], 1, 10)
-    assert [r["reasons"] for r in checked.collect()] == [
-        [], ["missing: a"], ["not a number: a"], ["out of range: a", "out of range: b"],
-        ["not a number: a"], []]
+    assert [r["reason"] for r in checked.collect()] == [
+        "", "missing: a", "not a number: a", "out of range: a; out of range: b",
+        "not a number: a", ""]
     unbounded = prepare.validate(df, ["a", "b"])
     assert [r["ok"] for r in unbounded.collect()] == [True, False, False, True, False, True]
+    assert [r["ok"] for r in prepare.validate(df, ["a"], low=1).collect()] == [
+        True, False, False, False, False, True]
+    assert [r["ok"] for r in prepare.validate(df, ["b"], high=5).collect()] == [
+        True, True, True, False, False, False]
+    names = [f"feature_{i}_with_a_long_name" for i in range(17)]
+    every = prepare.rejected(prepare.validate(df, names)).first()["reason"]
+    assert every == "; ".join(f"missing: {n}" for n in names)
+    assert prepare.accepted(prepare.validate(df, names), names).count() == 0
     absent = prepare.validate(df, ["a", "missing"])
-    assert all("missing: missing" in r["reasons"] for r in absent.collect())
+    assert all("missing: missing" in r["reason"] for r in absent.collect())
 
 
 def test_missing_column_is_an_error(spark):
@@ -116,3 +124,16 @@ def test_assemble_invalid(spark, mode, kept):
     assert prepare.assemble(df, ["a"], handle_invalid=mode).count() == kept
     with pytest.raises(Exception, match="VectorAssembler"):
         prepare.assemble(df, ["a"]).collect()
+
+
+def test_number_of_values_must_fit_the_names(spark):
+    from riskspark.sources.requests import requests_to_df
+
+    for values in ([1.0], [1.0, 2.0, 3.0]):
+        df = spark.createDataFrame([(1, values)], "id int, v array<double>")
+        with pytest.raises(Exception, match="values where 2 are named"):
+            requests_to_df(df, "v", ["a", "b"]).collect()
+        with pytest.raises(Exception, match="values where 2 are named"):
+            prepare.expand_vector(prepare.vector_from_array(df, "v", "x"), "x", ["a", "b"]).collect()
+    df = spark.createDataFrame([(1, None), (2, [3.0, 4.0])], "id int, v array<double>")
+    assert [tuple(r) for r in requests_to_df(df, "v", ["a", "b"]).collect()] == [(1, None, None), (2, 3.0, 4.0)]

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskspark.operators.ordered import (MOST_SLICES, SLICE, running_fold, running_number,
-                                         slice_by_order, slice_count)
+from riskspark.operators.ordered import (SLICE, running_fold, running_number, slice_by_order,
+                                         slice_count)
 
 
 def hot_rows(seed, n=400):
@@ -68,7 +68,15 @@ def test_slices_grow_with_the_input(spark):
     small, large = spark.range(1000), spark.range(10**10)
     assert slice_count(small) == 4
     assert 250 < slice_count(large) < 350  # 8 bytes a row, 256 MiB a slice
-    assert slice_count(spark.range(10**15)) == MOST_SLICES
+    assert slice_count(spark.range(10**15)) == -(-8 * 10**15 // (256 * 2**20))
+
+
+def test_input_of_unknown_size_is_counted(spark, monkeypatch):
+    import riskspark.operators.ordered as ordered
+
+    rows = spark.createDataFrame([(i,) for i in range(1000)], "id bigint")
+    monkeypatch.setattr(ordered, "SLICE_BYTES", 80)
+    assert slice_count(rows) == 100
 
 
 def test_slices_of_a_chain_of_operators(df):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import QUERIES
-from checks.tables import FX, rn, table
+from checks.tables import FX, fx, rn, table
 from riskspark.operators import evaluate, explain, prepare, profile, reshape, scenario, serving, split
 from riskspark.session import work_path
 from riskspark.sources import runs
@@ -87,9 +87,8 @@ def test_only_result_reuse_uses_python(spark, sf):
         assert "Python" not in text and "InPandas" not in text, name
 
 
-def test_spread_leaves_well_split_tables_alone(spark):
-    from riskspark.sources.files import spread
-
-    many = spark.range(0, 1000, 1, 16)
-    assert spread(many) is many
-    assert spread(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() == 8
+def test_feature_table_reads_what_is_asked(spark, sf):
+    """No exchange and no further columns for a projection of the feature table."""
+    text = plan(fx(spark, sf).select("id", "l_tax"))
+    assert "Exchange" not in text
+    assert "l_quantity" not in text and "l_shipdate" not in text

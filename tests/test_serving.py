@@ -64,6 +64,25 @@ def test_reuse_equals_brute_force(spark, name, slices):
     assert run_reuse(spark, rows, 60, slices) == brute_reuse(rows, 60)
 
 
+@pytest.mark.parametrize("slices", [1, 4])
+def test_reuse_of_nullable_long_keys(spark, slices):
+    """Keys beyond the whole numbers of a double, next to null keys and null times."""
+    keys = [2 ** 60 + 1, 2 ** 60 + 2, None]
+    rows = [(keys[i % 3], at(7 * i), i) for i in range(60)]
+    df = spark.createDataFrame([*rows, (keys[0], None, 99)], "k bigint, ts timestamp, id int")
+    got = {r["id"]: (r["computed_us"], r["hit"]) for r in
+           serving.reuse_results(df, "k", "ts", "id", 60, slices).collect()}
+    assert got.pop(99) == (None, False)
+    last = {}
+    for k, t, i in rows:
+        us = int(t.timestamp() * 1_000_000)
+        hit = k in last and us < last[k] + 60_000_000
+        if not hit:
+            last[k] = us
+        assert got.pop(i) == (last[k], hit)
+    assert not got
+
+
 def test_rate_limit(spark):
     rows = [("x", s) for s in range(11)] + [("x", 61)]
     out = serving.rate_limit(frame(spark, rows), "k", "ts", "id").orderBy("id").collect()

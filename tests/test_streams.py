@@ -84,12 +84,48 @@ def test_reuse_stream_equals_batch(spark, tmp_path):
     feed(spark, src, rows[3:6])
     feed(spark, src, rows[6:])
     S.reuse_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    S.reuse_release(spark, "client", "ts", "id", root)
     got = {r["id"]: (r["computed_us"], r["hit"]) for r in read_output(spark, root).collect()}
     batch = serving.reuse_results(spark.read.parquet(src), "client", "ts", "id").collect()
     assert got == {r["id"]: (r["computed_us"], r["hit"]) for r in batch}
     assert [i for i in sorted(got) if not got[i][1]] == [0, 2, 4, 5, 7, 8]
 
 
+def test_reuse_stream_waits_for_earlier_requests(spark, tmp_path):
+    """A request that is in time but out of order takes its place among those before it."""
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
+    feed(spark, src, [("x", 50, 0), ("x", 70, 1)])
+    feed(spark, src, [("x", 10, 2), ("x", 100, 3)])
+    feed(spark, src, [("x", 5000, 4), (None, 4990, 5), (None, 4991, 6)])
+    S.reuse_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    assert sorted(r["id"] for r in read_output(spark, root).collect()) == [0, 1, 2, 3]
+    S.reuse_release(spark, "client", "ts", "id", root)
+    got = {r["id"]: (r["computed_us"], r["hit"]) for r in read_output(spark, root).collect()}
+    batch = serving.reuse_results(spark.read.parquet(src), "client", "ts", "id").collect()
+    assert got == {r["id"]: (r["computed_us"], r["hit"]) for r in batch}
+    assert got[3][1] and not got[2][1] and got[6][1]
+
+
+def test_rows_without_a_time_are_set_aside(spark, tmp_path):
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
+    for i in range(2):
+        feed(spark, src, [("a", i, i)])
+        (spark.createDataFrame([("a", None, 10 + i)], SCHEMA).coalesce(1)
+         .write.mode("append").parquet(src))
+    S.rate_limit_stream(stream(spark, src), "client", "ts", "id", root).awaitTermination()
+    assert sorted(r["id"] for r in read_output(spark, root).collect()) == [0, 1]
+    assert sorted(r["id"] for r in read_output(spark, root, "late").collect()) == [10, 11]
+
+
+def test_complete_tables_are_replaced_whole(spark, tmp_path):
+    src, out, chk = (f"{tmp_path}/{n}" for n in ("src", "out", "chk"))
+    for i in range(4):
+        feed(spark, src, [("a", i, i), ("b", i, 10 + i)])
+    drain(S.latest_result_stream(stream(spark, src), "client", "ts", "id"), out, chk, "complete")
+    assert len(E.written_versions(spark, out)) == 2
+    assert sorted(r["id"] for r in E.read_complete(spark, out).collect()) == [3, 13]
+
+
 def test_scored_stream_of_requests_needs_no_state(spark, tmp_path, sf):
     from checks.tables import FX, fx
     from riskspark.operators.models import fit_model
