@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from riskspark.llm.arrow import parts, texts, to_batch
+from riskspark.llm.arrow import parts, rows_of, texts, to_batch
 from riskspark.llm.blocks import Block, split_blocks
 
 #: Pages that training may read at most.
@@ -322,16 +322,20 @@ class Labeller:
 
 def train_labeller(pages: DataFrame, page_id: str = "page_id", column: str = "html",
                    train_pages: int = TRAIN_PAGES, seed: int = SEED) -> Labeller:
-    """A labeller from at most ``train_pages`` pages, those with the smallest hash of the id.
+    """A labeller from at most ``train_pages`` pages, taken by hash of the id.
 
     Pages without a block that their elements call article teach nothing; without any teaching
     page the network is left to what made-up layouts of its own words can not give: it is not
     trained, and ``extract`` then falls back on the elements' own words.
     """
+    # About the wanted number by hash, so that no more than those come to the driver.
+    share = min(1.0, 1.25 * train_pages / max(1, rows_of(pages)))
+    turn = F.pmod(F.xxhash64(page_id, F.lit(seed)), F.lit(1 << 30))
     rows = (pages.where(F.col(column).isNotNull())
-            .select(F.xxhash64(page_id, F.lit(seed)).alias("turn"), F.col(page_id).cast("string").alias("id"),
+            .select(turn.alias("turn"), F.col(page_id).cast("string").alias("id"),
                     F.col(column).alias("html"))
-            .orderBy("turn", "id", "html").limit(train_pages).collect())
+            .where(F.col("turn") < int(share * (1 << 30))).limit(2 * train_pages).collect())
+    rows = sorted(rows, key=lambda r: (r.turn, r.id or "", r.html))[:train_pages]
     rng = np.random.default_rng(seed)
     examples, targets = [], []
     for row in rows:
