@@ -27,9 +27,9 @@ from riskspark.llm.blocks import Block, split_blocks
 #: Pages that training may read at most.
 TRAIN_PAGES = 240
 #: Times that a page's own layout counts, and other layouts made of each page.
-OWN_LAYOUT = 3
+OWN_LAYOUT = 4
 LAYOUTS = 4
-STEPS = 400
+STEPS = 600
 BATCH = 24
 HIDDEN = 24
 WIDTH = 16

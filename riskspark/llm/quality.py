@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from riskspark.session import shared_dir
 #: The fit reads at most about this many labelled rows, taken by hash of the id.
 FIT_ROWS = 200_000
 FEATURES = 256
-BANDWIDTH = 3.0
-RIDGE = 1e-3
+#: About the root of the number of statistics, the usual distance of standardised rows.
+BANDWIDTH = 5.0
+RIDGE = 1e-4
 SEED = 42
 KEEP_FROM = 0.3
 FOLDS = 5
@@ -36,7 +38,7 @@ FIT_PARTITIONS = 16
 STATISTICS = ("log_bytes", "upper", "lower", "digit", "space", "signs", "other_bytes", "stops",
               "sign_kinds", "sign_pairs", "log_word", "long_words", "short_words", "distinct_words",
               "top_word", "word_repeats", "sign_words", "capital_words", "shouted_words", "log_lines",
-              "line_repeats", "stop_lines", "byte_entropy")
+              "line_repeats", "stop_lines", "byte_entropy", "echoes")
 _UPPER = np.zeros(256, bool); _UPPER[65:91] = True
 _LOWER = np.zeros(256, bool); _LOWER[97:123] = True
 _DIGIT = np.zeros(256, bool); _DIGIT[48:58] = True
@@ -78,7 +80,7 @@ def statistics(text: str) -> list[float]:
         sum(c for t, c in tally.items() if t.isupper() and len(t) > 1) / w,
         float(np.log1p(len(lines))), 1 - len(set(lines)) / len(lines),
         sum(x.rstrip().endswith((".", "!", "?", "…")) for x in lines) / len(lines),
-        float(-(seen * np.log2(seen)).sum())]
+        float(-(seen * np.log2(seen)).sum()), sum(map(eq, words, words[1:])) / w]
 
 
 @dataclass
