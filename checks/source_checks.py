@@ -17,7 +17,8 @@ SAMPLE_LIST = "[" + ", ".join(FX_FEATURES) + "]"
 @check("SELECT * FROM lineitem")
 def read_source(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return files.read_source(spark, f"{sf_dir}/lineitem.parquet", "parquet")
+    df = files.read_source(spark, f"{sf_dir}/lineitem.parquet", "parquet")
+    return df.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
 
 
 @check("SELECT * FROM part")
