@@ -156,7 +156,8 @@ def _summed(rows: DataFrame, of) -> np.ndarray | None:
         if total is not None:
             yield pa.RecordBatch.from_pydict({"sums": [np.ascontiguousarray(total).tobytes()]})
 
-    parts_ = [np.frombuffer(r.sums) for r in rows.mapInArrow(run, "sums binary").collect()]
+    few = rows.coalesce(FIT_PARTITIONS)
+    parts_ = [np.frombuffer(r.sums) for r in few.mapInArrow(run, "sums binary").collect()]
     return sum(parts_) if parts_ else None
 
 
