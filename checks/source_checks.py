@@ -14,11 +14,11 @@ from riskspark.spec import REGIONAL
 SAMPLE_LIST = "[" + ", ".join(FX_FEATURES) + "]"
 
 
-@check("SELECT * FROM lineitem")
+@check("SELECT * REPLACE (epoch_us(l_shipdate) AS l_shipdate) FROM lineitem")
 def read_source(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = files.read_source(spark, f"{sf_dir}/lineitem.parquet", "parquet")
-    return df.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
+    return df.withColumn("l_shipdate", F.unix_micros(F.col("l_shipdate").cast("timestamp")))
 
 
 @check("SELECT * FROM part")
