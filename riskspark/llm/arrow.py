@@ -4,18 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 
-def parts(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Cut batches into short ones, so that a few long texts never pile up in memory."""
+def parts(batches: Iterable[pa.RecordBatch], rows: int = 512,
+          size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut batches into short ones, so that long texts never pile up in memory.
+
+    A part has ``rows`` rows and ``size`` bytes of text at most, or one row.
+    """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        upto = np.zeros(batch.num_rows + 1, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                upto[1:] += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        upto = upto.cumsum()
+        at = 0
+        while at < batch.num_rows:
+            fit = int(np.searchsorted(upto, upto[at] + size, "right")) - 1
+            end = min(at + rows, max(at + 1, fit), batch.num_rows)
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -161,6 +161,16 @@ def _summed(rows: DataFrame, of) -> np.ndarray | None:
     return sum(parts_) if parts_ else None
 
 
+def fit_labels(labels: DataFrame, doc_id: str = "doc_id", label: str = "quality",
+               fit_rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
+    """The id and ``label`` of about ``fit_rows`` labelled rows at most that a fit may learn from."""
+    named = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id))
+    part = min(1.0, fit_rows / max(1, named.count()))
+    turn = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30))
+    return (named.where(turn < int(part * (1 << 30)))
+            .select(doc_id, F.col(label).cast("double").alias("label")))
+
+
 def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality",
         fit_rows: int = FIT_ROWS, features: int = FEATURES, ridge: float = RIDGE,
         seed: int = SEED) -> Classifier:
@@ -174,13 +184,8 @@ def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     rng = np.random.default_rng(seed)
     blank = Classifier(np.zeros(width), np.ones(width), np.zeros((width, features)),
                        np.zeros(features), np.zeros(features + 1), np.zeros(0), np.array([0.5]))
-    named = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id))
-    count = named.count()
-    if not count:
-        return blank
-    turn = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30))
-    chosen = named.where(turn < int(min(1.0, fit_rows / count) * (1 << 30)))
-    rows = (stats.join(chosen.select(doc_id, F.col(label).cast("double").alias("label")), doc_id)
+    chosen = fit_labels(labels, doc_id, label, fit_rows, seed)
+    rows = (stats.join(chosen, doc_id)
             .select(doc_id, "stats", "label", (F.pmod(F.xxhash64(doc_id, F.lit(seed + 1)), F.lit(4)) == 0)
                     .alias("calibrates"))
             .repartition(FIT_PARTITIONS, F.xxhash64(doc_id)).checkpoint())
@@ -268,9 +273,12 @@ def fit_and_score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality",
               keep_from: float = KEEP_FROM) -> DataFrame:
-    """The documents predicted good, with all their columns. The texts are read twice, not moved."""
+    """The documents predicted good, with all their columns. The texts are read twice, not moved.
+
+    Only the ids of the rows that the fit reads, about ``FIT_ROWS`` at most, go to every task.
+    """
     shared_dir(docs.sparkSession)
-    wanted = labels.where(F.col(doc_id).isNotNull()).select(doc_id).distinct()
+    wanted = F.broadcast(fit_labels(labels, doc_id, label).select(doc_id).distinct())
     stats = statistics_table(docs.join(wanted, doc_id, "left_semi"), doc_id).checkpoint()
     scored = score(docs, fit(stats, labels, doc_id, label), keep_from)
     return scored.where("predicted = 1").select(*docs.columns)

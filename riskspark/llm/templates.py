@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, Str
                                StructType)
 
 from riskspark.llm.arrow import parts, texts, to_batch
-from riskspark.llm.tokens import Words
+from riskspark.llm.tokens import Words, worker_memory
 from riskspark.session import shared_dir
 
 WINDOW = 8
@@ -34,7 +33,7 @@ COVER = 0.5
 #: Up to this many benchmark windows go to every task as a filter; beyond, all windows shuffle.
 FILTER_WINDOWS = 1 << 20
 #: Words that a Python worker keeps.
-MEMORY_WORDS = 600_000
+MEMORY_WORDS = 250_000
 
 PLAIN, NUMBER, UNIT, NAME, NOTHING = range(5)
 MARKS = ("", "<num>", "<unit>", "<name>", "")
@@ -90,10 +89,9 @@ class Lexicon:
         self.code = np.concatenate([self.code, np.array(codes, np.uint64)])
 
 
-@cache
 def lexicon() -> Lexicon:
     """The worker's lexicon, with the words it has met so far."""
-    return Lexicon()
+    return worker_memory(Lexicon)
 
 
 MARK_CODES = np.array([xxhash.xxh64_intdigest(m, 1) for m in MARKS], np.uint64)
@@ -180,7 +178,7 @@ def windows(docs: DataFrame, key: str, window: int = WINDOW, plain_words: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             if len(lexicon().words) > MEMORY_WORDS:
-                lexicon.cache_clear()
+                worker_memory.cache_clear()
             rows = list(window_rows(texts(batch), lexicon(), window, plain_words, wanted))
             if not rows:
                 continue

@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from riskspark.llm.arrow import parts, texts, to_batch
-from riskspark.llm.tokens import MEMORY_CHARS, MEMORY_WORDS, Words
+from riskspark.llm.tokens import MEMORY_CHARS, MEMORY_WORDS, Words, worker_memory
 
 LIMIT = 2048
 #: Words whose pre-tokens are merged together.
@@ -163,10 +162,9 @@ class Counter:
                 for own, extra in zip(found, fixed, strict=True)]
 
 
-@cache
 def counter(path: str) -> Counter:
     """The worker's counter for a file, with the words it has met so far."""
-    return Counter(path)
+    return worker_memory(Counter, path)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT,

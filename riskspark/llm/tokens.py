@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 import os
-from functools import cache
+from collections.abc import Callable
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 
 #: Words, and characters in them, that a Python worker keeps; beyond, its memory starts anew.
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 400_000
 MEMORY_CHARS = 32 * MEMORY_WORDS
 #: Words encoded by one call of the library.
 CALL_WORDS = 5_000
@@ -119,10 +120,15 @@ class Encoder:
                 for body in bodies]
 
 
-@cache
+@lru_cache(maxsize=1)
+def worker_memory(make: Callable, *arguments):
+    """What a Python worker keeps between tasks: one such object, so a new stage frees the last."""
+    return make(*arguments)
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a file, with the words it has met so far."""
-    return Encoder(path)
+    return worker_memory(Encoder, path)
 
 
 def public_path(name: str) -> str:
