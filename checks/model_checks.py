@@ -58,6 +58,15 @@ def elastic_net_fits(spark, sf_dir):
                       F.round("intercept", 6).alias("intercept"))
 
 
+def _scaled_search(spark, sf_dir):
+    """The linear grid on standardised rows, as the tournament searches it."""
+    train = assemble(scaled_rows(spark, sf_dir), FX1.features).select("features", "y", "fold").persist()
+    try:
+        return models.grid_search(train, "LinearRegression", FX1)
+    finally:
+        train.unpersist()
+
+
 def _search_rows(spark, result):
     return result.table(spark).select(
         "grid_id", F.col("params")["regParam"].alias("reg"),
@@ -74,13 +83,13 @@ def grid_search(spark, sf_dir):
 
 @check(f"WITH {CV_SQL} SELECT grid_id, reg, alpha, round(avg_rmse, 8) AS avg_rmse FROM cv")
 def linear_grid_search(spark, sf_dir):
-    return _search_rows(spark, models.linear_grid_search(scaled_rows(spark, sf_dir), FX1))
+    return _search_rows(spark, _scaled_search(spark, sf_dir))
 
 
 @check(f"""WITH {CV_SQL} SELECT arg_min(grid_id, avg_rmse * 1e9 + grid_id) AS grid_id,
                                 round(min(avg_rmse), 8) AS avg_rmse FROM cv""")
 def best_grid_point(spark, sf_dir):
-    result = models.linear_grid_search(scaled_rows(spark, sf_dir), FX1)
+    result = _scaled_search(spark, sf_dir)
     best = evaluate.best_grid_point(result.table(spark))
     return best.select("grid_id", F.round("avg_rmse", 8).alias("avg_rmse"))
 
@@ -89,7 +98,7 @@ def best_grid_point(spark, sf_dir):
 SELECT 'LinearRegression' AS model, 'regParam' AS name, reg AS value FROM best
 UNION ALL SELECT 'LinearRegression', 'elasticNetParam', alpha FROM best""")
 def best_params(spark, sf_dir):
-    result = models.linear_grid_search(scaled_rows(spark, sf_dir), FX1)
+    result = _scaled_search(spark, sf_dir)
     return models.best_params_table(spark, result)
 
 

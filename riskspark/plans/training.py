@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators.evaluate import (SCORE_NAMES, champion, diagnose, evaluate_models,
                                           score_table)
-from riskspark.operators.models import (SearchResult, grid_search, linear_grid_search,
-                                        make_estimator)
+from riskspark.operators.models import SearchResult, grid_search, make_estimator
 from riskspark.operators.prepare import assemble
 from riskspark.plans.preparation import Prepared
 from riskspark.sources import runs as R
@@ -34,24 +33,19 @@ def tournament(rows: DataFrame, spec: JobSpec, parallelism: int = 4) -> Tourname
     """Search, refit and score every model of the job.
 
     ``rows`` holds standardised features, target, ``split`` and ``fold``. The driver loops
-    over estimators only. The linear search needs one pass for its whole grid; the trees
-    run as concurrent jobs over the persisted training rows; all models are then scored
-    and measured on both splits in a single pass.
+    over estimators only. The fits of a grid run as concurrent jobs over the persisted
+    training rows; all models are then scored and measured on both splits in a single pass.
     """
     spark = rows.sparkSession
     vectors = assemble(rows, spec.features).persist(StorageLevel.MEMORY_AND_DISK)
     train = vectors.where("split = 'train'")
     searches, models, scored = {}, {}, vectors
     try:
-        centre = train.agg(F.avg(spec.target)).first()[0]
-        if centre is None:
+        if train.isEmpty():
             raise ValueError("no training rows")
+        folded = train.select("features", spec.target, "fold")
         for name in spec.grids:
-            if name == "LinearRegression":
-                searches[name] = linear_grid_search(train, spec, centre)
-            else:
-                searches[name] = grid_search(train.select("features", spec.target, "fold"),
-                                             name, spec, parallelism=parallelism)
+            searches[name] = grid_search(folded, name, spec, parallelism=parallelism)
             best = searches[name].points[searches[name].best]
             models[name] = make_estimator(name, spec, best).fit(train)
             scored = models[name].copy().setPredictionCol(name).transform(scored)
