@@ -77,10 +77,15 @@ def best_grid_point(results: DataFrame, by: Sequence[str] = (), score: str = "av
 
 
 def champion(scores: DataFrame, by: Sequence[str] = (), score: str = "Test_RMSE",
-             ordinal: str = "ordinal", name: str = "model") -> DataFrame:
-    """The model with the lowest score, the first one on ties. No row when none is usable."""
+             ordinal: str = "ordinal", name: str = "model", places: int = 12) -> DataFrame:
+    """The model with the lowest score, the first one on ties. No row when none is usable.
+
+    Scores that agree when rounded to ``places`` decimals are ties: the scores of equal models
+    differ by the order of their sums alone.
+    """
     usable = scores.where(~F.isnan(score) & F.col(score).isNotNull())
-    best = usable.groupBy(*by).agg(F.min(F.struct(score, ordinal, name)).alias("_best"))
+    ranked = F.struct(F.round(score, places).alias("_rounded"), ordinal, name, score)
+    best = usable.groupBy(*by).agg(F.min(ranked).alias("_best"))
     return (best.where("_best is not null")
             .select(*by, f"_best.{name}", f"_best.{ordinal}", f"_best.{score}"))
 

@@ -91,6 +91,9 @@ def test_champion_ties_and_nan(spark):
     rows = [("a", 0, float("nan")), ("b", 1, 0.5), ("c", 2, 0.5)]
     df = spark.createDataFrame(rows, "model string, ordinal int, Test_RMSE double")
     assert evaluate.champion(df).first()["model"] == "b"
+    noisy = df.withColumn("Test_RMSE", F.col("Test_RMSE") - F.col("ordinal") * 1e-15)
+    assert evaluate.champion(noisy).first()["model"] == "b"
+    assert evaluate.champion(noisy, places=17).first()["model"] == "c"
     assert evaluate.champion(df.limit(1)).first() is None
     with pytest.raises(ValueError):
         models.SearchResult("m", [{}], [float("nan")]).best
