@@ -2,7 +2,9 @@
 
 A text becomes a row of tokens: words in lower case, and typed placeholders for numbers, names
 and units. Windows of ``WINDOW`` tokens with enough plain words are hashed and joined with the
-windows of the benchmark items. Windows of one document and item on one diagonal (place in the
+windows of the benchmark items. Items shorter than a window are one window of their own length,
+and documents are cut into windows of those lengths too; items without enough plain words in any
+window are looked for by exact windows, without placeholders. Windows of one document and item on one diagonal (place in the
 document less place in the item) belong together; there each slot value of the item must always
 stand for the same value in the document. A document is contaminated by an item once consistent
 diagonals cover ``COVER`` of the item's windows.
@@ -19,8 +21,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
 from riskspark.llm.arrow import parts, texts, to_batch
 from riskspark.llm.tokens import Words, worker_memory
@@ -118,8 +120,14 @@ def canonical(lexicon: Lexicon, owned: list[list[list[int]]]):
 
 
 def window_rows(texts: list[str], lexicon: Lexicon, window: int, plain_words: int,
-                wanted: Callable[[np.ndarray], np.ndarray] | None):
-    """Windows as (owner, place, hash, template, slot values, windows of the owner)."""
+                wanted: Callable[[np.ndarray], np.ndarray] | None,
+                widths: list[int] | None = None, exact: bool | None = False):
+    """Windows as (owner, place, hash, template, slot values, windows of the owner, width, exact).
+
+    Without ``widths`` a text shorter than a window is one window; with them a text has windows
+    of each of these widths. ``exact`` adds the windows with no placeholders and any words: None
+    to texts that have no window without them, True to all.
+    """
     numbers = lexicon.words.__getitem__
     owned = [[list(map(numbers, line.split())) for line in t.split("\n")] for t in texts]
     lexicon.learn()
@@ -127,27 +135,41 @@ def window_rows(texts: list[str], lexicon: Lexicon, window: int, plain_words: in
     sizes = np.bincount(owner, minlength=len(texts))
     first = np.cumsum(sizes) - sizes
     place = np.arange(len(owner)) - first[owner]
-    # A text shorter than a window is one window.
-    width = np.minimum(sizes, window)
-    starts = np.flatnonzero(place <= (sizes - width)[owner])
+    if widths is None:
+        width = np.minimum(sizes, window)
+        all_starts = np.flatnonzero(place <= (sizes - width)[owner])
+        all_widths = width[owner[all_starts]]
+    else:
+        found = [np.flatnonzero(place <= (sizes - w)[owner]) for w in widths]
+        all_starts = np.concatenate([np.zeros(0, np.int64), *found])
+        all_widths = np.repeat(np.array(widths, np.int64), list(map(len, found)))
     plain = np.r_[0, np.cumsum(kind == PLAIN)]
-    own_width = width[owner[starts]]
-    enough = plain[starts + own_width] - plain[starts] >= np.minimum(plain_words, own_width)
-    starts, own_width = starts[enough], own_width[enough]
-    value = np.zeros(len(starts), np.uint64)
-    padded = np.r_[code, np.zeros(window, np.uint64)]
-    for k in range(window):
-        inside = own_width > k
-        value += np.where(inside, padded[starts + k], np.uint64(0)) * POWERS[k]
-    total = np.bincount(owner[starts], minlength=len(texts))
-    if wanted is not None:
-        hit = wanted(value)
-        starts, own_width, value = starts[hit], own_width[hit], value[hit]
-    for at, wide, hash_ in zip(starts.tolist(), own_width.tolist(), value.tolist(), strict=True):
-        span = range(at, at + wide)
-        yield (int(owner[at]), int(place[at]), hash_,
-               " ".join(MARKS[kind[i]] or lexicon.plain[word[i]] for i in span),
-               [lexicon.plain[word[i]] for i in span if kind[i] != PLAIN], int(total[owner[at]]))
+    own_plain = plain[all_starts + all_widths] - plain[all_starts]
+    enough = own_plain >= np.minimum(plain_words, all_widths)
+    layers = [(kind, code, enough)]
+    if exact is not False:
+        # Windows of plain words alone are the same with and without placeholders.
+        more = ~enough | (own_plain < all_widths)
+        if exact is None:
+            more &= (np.bincount(owner[all_starts[enough]], minlength=len(texts)) == 0)[owner[all_starts]]
+        layers.append((np.full(len(kind), PLAIN, np.int8), lexicon.code[word], more))
+    total = sum(np.bincount(owner[all_starts[chosen]], minlength=len(texts)) for *_, chosen in layers)
+    for layer, (kind, code, chosen) in enumerate(layers):
+        starts, own_width = all_starts[chosen], all_widths[chosen]
+        value = np.zeros(len(starts), np.uint64)
+        padded = np.r_[code, np.zeros(window, np.uint64)]
+        for k in range(window):
+            inside = own_width > k
+            value += np.where(inside, padded[starts + k], np.uint64(0)) * POWERS[k]
+        if wanted is not None:
+            hit = wanted(value)
+            starts, own_width, value = starts[hit], own_width[hit], value[hit]
+        for at, wide, hash_ in zip(starts.tolist(), own_width.tolist(), value.tolist(), strict=True):
+            span = range(at, at + wide)
+            yield (int(owner[at]), int(place[at]), hash_,
+                   " ".join(MARKS[kind[i]] or lexicon.plain[word[i]] for i in span),
+                   [lexicon.plain[word[i]] for i in span if kind[i] != PLAIN], int(total[owner[at]]),
+                   wide, layer == 1)
 
 
 class Wanted:
@@ -168,25 +190,27 @@ class Wanted:
 
 
 def windows(docs: DataFrame, key: str, window: int = WINDOW, plain_words: int = PLAIN_WORDS,
-            wanted: Wanted | None = None) -> DataFrame:
-    """``key``, place, hash, template, slots and n_windows of every window that is wanted."""
+            wanted: Wanted | None = None, widths: list[int] | None = None,
+            exact: bool | None = False) -> DataFrame:
+    """``key`` and, as ``window_rows`` gives them, the fields of every window that is wanted."""
     schema = StructType([
         docs.schema[key], StructField("place", IntegerType()), StructField("hash", LongType()),
         StructField("template", StringType()), StructField("slots", ArrayType(StringType())),
-        StructField("n_windows", IntegerType())])
+        StructField("n_windows", IntegerType()), StructField("width", IntegerType()),
+        StructField("exact", BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             if len(lexicon().words) > MEMORY_WORDS:
                 worker_memory.cache_clear()
-            rows = list(window_rows(texts(batch), lexicon(), window, plain_words, wanted))
+            rows = list(window_rows(texts(batch), lexicon(), window, plain_words, wanted, widths, exact))
             if not rows:
                 continue
-            owner, place, hash_, template, slots, n = zip(*rows, strict=True)
+            owner, place, hash_, template, slots, n, wide, is_exact = zip(*rows, strict=True)
             yield to_batch({key: batch.column(0).take(pa.array(owner)), "place": list(place),
                             "hash": np.array(hash_, np.uint64).view(np.int64),
                             "template": list(template), "slots": list(slots),
-                            "n_windows": list(n)}, schema)
+                            "n_windows": list(n), "width": list(wide), "exact": list(is_exact)}, schema)
 
     return docs.select(key, "text").mapInArrow(run, schema)
 
@@ -203,7 +227,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     shared_dir(docs.sparkSession)
     items = windows(benchmark.where(F.col(item_id).isNotNull()), item_id, window,
-                    plain_words).checkpoint()
+                    plain_words, exact=None).checkpoint()
+    # At most one row for each width up to ``window``.
+    shapes = items.groupBy("width").agg(F.bool_or("exact").alias("exact")).collect()
+    widths, exact = sorted(r.width for r in shapes), any(r.exact for r in shapes)
     wanted = None
     if items.count() <= filter_windows:
         wanted = Wanted(np.array([r.hash for r in items.select("hash").distinct().collect()],
@@ -211,7 +238,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     mine = items.select(F.col(item_id).alias("_item"), F.col("place").alias("_item_place"), "hash",
                         "template", F.col("slots").alias("_item_slots"),
                         F.col("n_windows").alias("_n"))
-    own = (windows(docs.where(F.col(doc_id).isNotNull()), doc_id, window, plain_words, wanted)
+    own = (windows(docs.where(F.col(doc_id).isNotNull()), doc_id, window, plain_words, wanted,
+                   widths, exact)
            .select(F.col(doc_id).alias("_doc"), "place", "hash", "template", "slots"))
     pairs = F.transform(F.arrays_zip(F.col("_item_slots").alias("theirs"), F.col("slots").alias("ours")),
                         lambda p: F.struct(p["theirs"].alias("theirs"), p["ours"].alias("ours")))

@@ -56,3 +56,14 @@ def test_odd_rows(make_docs, odd, benchmark, spark):
     assert drop_contaminated(make_docs(odd), empty).count() == len(odd)
     twice = make_docs([(1, ITEM), (1, ITEM), (None, ITEM)])
     assert list(pairs(contaminated(twice, benchmark))) == [(1, 1)]
+
+
+def test_short_and_number_heavy_items(make_docs, spark):
+    items = ["What is the capital of France?", "12 + 7 = 19 and 19 + 8 = 27 then 27 - 5 = 22",
+             "from Anna Berg, Carl Dahl, Eva Falk, Gustav Holm, Ida Juhl", "Why?"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = make_docs([f"Some words stand before the item.\n{t}\nAnd a few more words stand after it." for t in items]
+                     + ["What is the capital", "12 + 7 = 20 and 20 + 8 = 28 then 28 - 5 = 23", items[0], items[1]])
+    want = {**{(i, i): True for i in range(4)}, (6, 0): True, (7, 1): True}
+    assert pairs(contaminated(docs, benchmark)) == want
+    assert pairs(contaminated(docs, benchmark, filter_windows=0)) == want
