@@ -52,7 +52,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark item, one row for each document and item."""
-    return templates.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return templates.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"),
+                                  by_window=True)
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ windows of the benchmark items. Items shorter than a window are one window of th
 and documents are cut into windows of those lengths too; items without enough plain words in any
 window are looked for by exact windows, without placeholders. Windows of one document and item on one diagonal (place in the
 document less place in the item) belong together; there each slot value of the item must always
-stand for the same value in the document. A document is contaminated by an item once consistent
+stand for the same value in the document, or else the diagonal, or the windows with that value,
+do not count. A document is contaminated by an item once consistent
 diagonals cover ``COVER`` of the item's windows.
 """
 
@@ -19,7 +20,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType,
                                StructField, StructType)
@@ -217,13 +218,16 @@ def windows(docs: DataFrame, key: str, window: int = WINDOW, plain_words: int =
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  plain_words: int = PLAIN_WORDS, cover: float = COVER, doc_id: str = "doc_id",
-                 item_id: str = "item_id", filter_windows: int = FILTER_WINDOWS) -> DataFrame:
+                 item_id: str = "item_id", filter_windows: int = FILTER_WINDOWS,
+                 by_window: bool = False) -> DataFrame:
     """The documents that hold a benchmark item, with or without other numbers, names and units.
 
     One row for each document and item: the ids, ``windows`` of the item found, ``n_windows`` of
     the item, and ``verbatim``, whether all slots found bear the item's own values. Null texts,
     null ids (they cannot be named), texts and items without words match nothing; items with
-    equal texts match alike; rows of one id are one document.
+    equal texts match alike; rows of one id are one document. An item's value that stands for two
+    values on a diagonal drops the whole diagonal, or, ``by_window``, only the windows that hold
+    the value, save those that bear the item's own values throughout.
     """
     shared_dir(docs.sparkSession)
     items = windows(benchmark.where(F.col(item_id).isNotNull()), item_id, window,
@@ -243,16 +247,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
            .select(F.col(doc_id).alias("_doc"), "place", "hash", "template", "slots"))
     pairs = F.transform(F.arrays_zip(F.col("_item_slots").alias("theirs"), F.col("slots").alias("ours")),
                         lambda p: F.struct(p["theirs"].alias("theirs"), p["ours"].alias("ours")))
-    # A diagonal holds each window of an item once at most, so these sets are short.
+    # A diagonal holds each window of an item a few times at most, so these sets are short.
     diagonals = (own.join(mine, ["hash", "template"])
                  .groupBy("_doc", "_item", "_n", (F.col("place") - F.col("_item_place")).alias("_shift"))
-                 .agg(F.collect_set("_item_place").alias("_found"),
-                      F.array_distinct(F.flatten(F.collect_set(pairs))).alias("_pairs")))
-    theirs = F.array_distinct(F.transform("_pairs", lambda p: p["theirs"]))
-    consistent = diagonals.where(F.size(theirs) == F.size("_pairs"))
-    plain = F.forall("_pairs", lambda p: p["theirs"] == p["ours"])
+                 .agg(F.collect_set(F.struct(F.col("_item_place").alias("place"), pairs.alias("pairs")))
+                      .alias("_windows"))
+                 .withColumn("_pairs", F.array_sort(F.array_distinct(
+                     F.flatten(F.transform("_windows", lambda w: w["pairs"])))))
+                 # In sorted distinct pairs, a value with two counterparts follows itself.
+                 .withColumn("_broken", F.array_distinct(F.transform(
+                     F.filter("_pairs", lambda p, i: (i > 0) & (
+                         F.get("_pairs", i - 1)["theirs"] == p["theirs"])),
+                     lambda p: p["theirs"]))))
+
+    def own_values(pairs: Column) -> Column:
+        return F.forall(pairs, lambda p: p["theirs"] == p["ours"])
+
+    if by_window:
+        good = F.filter("_windows", lambda w: own_values(w["pairs"]) | ~F.exists(
+            w["pairs"], lambda p: F.array_contains("_broken", p["theirs"])))
+        consistent = diagonals.withColumn("_windows", good)
+    else:
+        consistent = diagonals.where(F.size("_broken") == 0)
+    plain = F.forall("_windows", lambda w: own_values(w["pairs"]))
     found = (consistent.select("_doc", "_item", "_n", plain.alias("_same"),
-                               F.explode("_found").alias("_place"))
+                               F.explode(F.transform("_windows", lambda w: w["place"])).alias("_place"))
              .groupBy("_doc", "_item", "_n")
              .agg(F.count_distinct("_place").alias("windows"), F.bool_and("_same").alias("verbatim")))
     return (found.where(F.col("windows") >= F.col("_n") * cover)

@@ -67,3 +67,22 @@ def test_short_and_number_heavy_items(make_docs, spark):
     want = {**{(i, i): True for i in range(4)}, (6, 0): True, (7, 1): True}
     assert pairs(contaminated(docs, benchmark)) == want
     assert pairs(contaminated(docs, benchmark, filter_windows=0)) == want
+
+
+def test_one_changed_word_leaves_the_other_windows(make_docs, spark, tmp_path):
+    tail = " Then both of them went home by the old train that leaves at 6 every evening from the station near the lake."
+    benchmark = spark.createDataFrame([(1, ITEM), (2, ITEM + tail)], "item_id bigint, text string")
+    broken = ITEM.replace("Oscar sold", "Peter sold")
+    # Every value is new, and the one that stands twice has become two: half of the short item's
+    # windows hold it, but few of the long one's.
+    mixed = (broken.replace("Oscar", "Anton").replace("Maria", "Lena").replace("25 kg", "90 kg")
+             .replace("40 boxes", "11 boxes"))
+    docs = make_docs([f"Before. {broken} After.", f"Before. {mixed + tail} After.", broken[:60]])
+    got = pairs(contaminated(docs, benchmark, by_window=True))
+    assert got == {(0, 1): True, (1, 2): False}
+    assert pairs(contaminated(docs, benchmark)) == {}
+    assert [r.doc_id for r in drop_contaminated(docs, benchmark, by_window=True).collect()] == [2]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    from riskspark.llm.queries import op6_decontamination
+    assert pairs(op6_decontamination(spark, str(tmp_path))) == got
