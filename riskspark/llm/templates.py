@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates, so that questions with new numbers are found too.
 
 A text becomes a row of tokens: words in lower case, and typed placeholders for numbers, names
-and units. Windows of ``WINDOW`` tokens with enough plain words are hashed and joined with the
+and units. Names are told by their capitals, so windows with names are taken a second time with
+the names as plain words, which finds copies in other letter case. Windows of ``WINDOW`` tokens with enough plain words are hashed and joined with the
 windows of the benchmark items. Items shorter than a window are one window of their own length,
 and documents are cut into windows of those lengths too; items without enough plain words in any
 window are looked for by exact windows, without placeholders. Windows of one document and item on one diagonal (place in the
@@ -102,37 +103,46 @@ POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(64)], np.u
 
 
 def canonical(lexicon: Lexicon, owned: list[list[list[int]]]):
-    """Flat tokens of some texts, given as word numbers by line: owner, word, kind, code."""
+    """Flat tokens of some texts, given as word numbers by line: owner, word, kind, code.
+
+    Kind and code come twice: with names told by their capitals, and without names, so that they
+    are the same in any letter case.
+    """
     lines = list(chain.from_iterable(owned))
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
     owner = np.repeat(np.repeat(np.arange(len(owned)), list(map(len, owned))), lengths)
     word = np.array(list(chain.from_iterable(lines)), np.int64)
     starts = np.zeros(len(word) + 1, bool)
     starts[np.cumsum(lengths) - lengths] = True
-    kind, ends = lexicon.kind[word].copy(), lexicon.ends[word]
+    folded, ends = lexicon.kind[word], lexicon.ends[word]
     opens = starts[:-1] | np.r_[True, ends[:-1]][:len(word)]
-    kind[lexicon.capital[word] & ~opens] = NAME
-    keep = kind != NOTHING
-    owner, word, kind = owner[keep], word[keep], kind[keep]
-    after_number = np.r_[False, (kind[:-1] == NUMBER) & (owner[1:] == owner[:-1])][:len(kind)]
-    kind[(kind == UNIT) & ~after_number] = PLAIN
-    code = np.where(kind == PLAIN, lexicon.code[word], MARK_CODES[kind])
-    return owner, word, kind, code
+    named = np.where(lexicon.capital[word] & ~opens, NAME, folded)
+    keep = named != NOTHING
+    owner, word = owner[keep], word[keep]
+    out = [owner, word]
+    for kind in (named[keep], folded[keep]):
+        after_number = np.r_[False, (kind[:-1] == NUMBER) & (owner[1:] == owner[:-1])][:len(kind)]
+        kind[(kind == UNIT) & ~after_number] = PLAIN
+        out.append((kind, np.where(kind == PLAIN, lexicon.code[word], MARK_CODES[kind])))
+    return tuple(out)
 
 
 def window_rows(texts: list[str], lexicon: Lexicon, window: int, plain_words: int,
                 wanted: Callable[[np.ndarray], np.ndarray] | None,
-                widths: list[int] | None = None, exact: bool | None = False):
+                widths: list[int] | None = None, exact: bool | None = False,
+                any_case: bool = False):
     """Windows as (owner, place, hash, template, slot values, windows of the owner, width, exact).
 
     Without ``widths`` a text shorter than a window is one window; with them a text has windows
-    of each of these widths. ``exact`` adds the windows with no placeholders and any words: None
+    of each of these widths. ``any_case`` adds to windows that differ by it their like without
+    names: to those with enough plain words beside the names, or with ``widths`` among all words.
+    ``exact`` adds the windows with no placeholders and any words: None
     to texts that have no window without them, True to all.
     """
     numbers = lexicon.words.__getitem__
     owned = [[list(map(numbers, line.split())) for line in t.split("\n")] for t in texts]
     lexicon.learn()
-    owner, word, kind, code = canonical(lexicon, owned)
+    owner, word, (kind, code), (folded, folded_code) = canonical(lexicon, owned)
     sizes = np.bincount(owner, minlength=len(texts))
     first = np.cumsum(sizes) - sizes
     place = np.arange(len(owner)) - first[owner]
@@ -148,13 +158,25 @@ def window_rows(texts: list[str], lexicon: Lexicon, window: int, plain_words: in
     own_plain = plain[all_starts + all_widths] - plain[all_starts]
     enough = own_plain >= np.minimum(plain_words, all_widths)
     layers = [(kind, code, enough)]
+    if any_case:
+        changed = np.r_[0, np.cumsum(kind != folded)]
+        differs = changed[all_starts + all_widths] > changed[all_starts]
+        if widths is None:
+            layers.append((folded, folded_code, differs & enough))
+        else:
+            plain = np.r_[0, np.cumsum(folded == PLAIN)]
+            layers.append((folded, folded_code, differs & (
+                plain[all_starts + all_widths] - plain[all_starts] >= np.minimum(plain_words, all_widths))))
     if exact is not False:
         # Windows of plain words alone are the same with and without placeholders.
         more = ~enough | (own_plain < all_widths)
         if exact is None:
             more &= (np.bincount(owner[all_starts[enough]], minlength=len(texts)) == 0)[owner[all_starts]]
         layers.append((np.full(len(kind), PLAIN, np.int8), lexicon.code[word], more))
-    total = sum(np.bincount(owner[all_starts[chosen]], minlength=len(texts)) for *_, chosen in layers)
+    # What is found without names counts for the window with them.
+    total = sum(np.bincount(owner[all_starts[chosen]], minlength=len(texts))
+                for kind, _, chosen in layers if kind is not folded)
+    last = len(layers) - 1 if exact is not False else None
     for layer, (kind, code, chosen) in enumerate(layers):
         starts, own_width = all_starts[chosen], all_widths[chosen]
         value = np.zeros(len(starts), np.uint64)
@@ -170,7 +192,7 @@ def window_rows(texts: list[str], lexicon: Lexicon, window: int, plain_words: in
             yield (int(owner[at]), int(place[at]), hash_,
                    " ".join(MARKS[kind[i]] or lexicon.plain[word[i]] for i in span),
                    [lexicon.plain[word[i]] for i in span if kind[i] != PLAIN], int(total[owner[at]]),
-                   wide, layer == 1)
+                   wide, layer == last)
 
 
 class Wanted:
@@ -192,7 +214,7 @@ class Wanted:
 
 def windows(docs: DataFrame, key: str, window: int = WINDOW, plain_words: int = PLAIN_WORDS,
             wanted: Wanted | None = None, widths: list[int] | None = None,
-            exact: bool | None = False) -> DataFrame:
+            exact: bool | None = False, any_case: bool = False) -> DataFrame:
     """``key`` and, as ``window_rows`` gives them, the fields of every window that is wanted."""
     schema = StructType([
         docs.schema[key], StructField("place", IntegerType()), StructField("hash", LongType()),
@@ -204,7 +226,8 @@ def windows(docs: DataFrame, key: str, window: int = WINDOW, plain_words: int =
         for batch in parts(batches):
             if len(lexicon().words) > MEMORY_WORDS:
                 worker_memory.cache_clear()
-            rows = list(window_rows(texts(batch), lexicon(), window, plain_words, wanted, widths, exact))
+            rows = list(window_rows(texts(batch), lexicon(), window, plain_words, wanted, widths,
+                                    exact, any_case))
             if not rows:
                 continue
             owner, place, hash_, template, slots, n, wide, is_exact = zip(*rows, strict=True)
@@ -231,7 +254,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     shared_dir(docs.sparkSession)
     items = windows(benchmark.where(F.col(item_id).isNotNull()), item_id, window,
-                    plain_words, exact=None).checkpoint()
+                    plain_words, exact=None, any_case=True).checkpoint()
     # At most one row for each width up to ``window``.
     shapes = items.groupBy("width").agg(F.bool_or("exact").alias("exact")).collect()
     widths, exact = sorted(r.width for r in shapes), any(r.exact for r in shapes)
@@ -243,7 +266,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         "template", F.col("slots").alias("_item_slots"),
                         F.col("n_windows").alias("_n"))
     own = (windows(docs.where(F.col(doc_id).isNotNull()), doc_id, window, plain_words, wanted,
-                   widths, exact)
+                   widths, exact, any_case=True)
            .select(F.col(doc_id).alias("_doc"), "place", "hash", "template", "slots"))
     pairs = F.transform(F.arrays_zip(F.col("_item_slots").alias("theirs"), F.col("slots").alias("ours")),
                         lambda p: F.struct(p["theirs"].alias("theirs"), p["ours"].alias("ours")))

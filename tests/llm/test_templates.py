@@ -86,3 +86,14 @@ def test_one_changed_word_leaves_the_other_windows(make_docs, spark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     from riskspark.llm.queries import op6_decontamination
     assert pairs(op6_decontamination(spark, str(tmp_path))) == got
+
+
+def test_names_in_other_letter_case(make_docs, spark):
+    item = ("We saw how Oscar met Maria and then how Peter saw Lena near old Berlin while the aunt of "
+            "Gustav took 25 kg of Danish pears to Anna who gave Bruno most of them.")
+    benchmark = spark.createDataFrame([(1, item), (2, item.lower())], "item_id bigint, text string")
+    docs = make_docs([f"Before. {x} After." for x in (
+        item, item.lower(), item.upper(), item.upper().replace("25", "90"), item.title())] + [item[:40]])
+    want = {(d, i): d != 3 for d in range(5) for i in (1, 2)}
+    assert pairs(contaminated(docs, benchmark)) == want
+    assert pairs(contaminated(docs, benchmark, filter_windows=0)) == want
