@@ -6,10 +6,9 @@ import html
 import re
 from dataclasses import dataclass
 
-# A comment, a whole element whose text is not shown, or a tag (quoted values may hold '>').
+# A comment, a whole element of raw text that is not shown, or a tag (quoted values may hold '>').
 _PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|head|title|textarea"
-    r"|select|audio|video|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+", re.I)
@@ -21,6 +20,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # An opening tag closes an open element of its own group.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
           "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# Elements whose content is not shown, and what may stand in a head.
+HIDDEN = frozenset("noscript template svg math iframe object head select audio video canvas".split())
+HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 
 
 @dataclass
@@ -41,71 +43,128 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _tag(found: re.Match) -> tuple[str, bool]:
+    """The name of a tag, empty for other pieces, and whether it opens an element with content."""
+    tag = (found[3] or "").lower()
+    return tag, bool(tag) and not found[2] and tag not in VOID and not found[4].endswith("/")
+
+
+def _hidden_ends(pieces: list[re.Match]) -> dict[int, int]:
+    """For the number of each hidden element's tag that is closed, the number of its closing tag.
+
+    An element that is not closed before its parent is, is missing, and so is a head, which ends
+    by other rules.
+    """
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    open_: dict[str, int] = {}
+    for i, found in enumerate(pieces):
+        tag, opens = _tag(found)
+        if opens:
+            stack.append((tag, i))
+            open_[tag] = open_.get(tag, 0) + 1
+        elif tag and found[2] and open_.get(tag):
+            while True:
+                gone, at = stack.pop()
+                open_[gone] -= 1
+                if gone == tag:
+                    break
+            if tag in HIDDEN and tag != "head":
+                ends[at] = i
+    return ends
+
+
 def split_blocks(page: str) -> list[Block]:
     """The blocks of a page in order: runs of text between block-level tags.
 
     Scripts, styles, comments, the head and control contents are no text. Character references
     are decoded, white space becomes one space, and blocks without text are left out. Inline
-    tags do not end a block; a line break is white space. Unclosed elements are tolerated.
+    tags do not end a block; a line break is white space. Unclosed elements are tolerated: a head
+    ends at the first tag that cannot stand in it, and other elements that are not shown end with
+    their parent. Only script, style, title and textarea may run to the end of the page.
     """
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
     links: list[str] = []
     inside_link = 0
+    #: Place in the stack of an unclosed element, or a head, that is not shown.
+    hidden: int | None = None
+
+    def cut(depth: int) -> None:
+        nonlocal inside_link, hidden
+        inside_link -= sum(t == "a" for t, _ in stack[depth:])
+        del stack[depth:]
+        if hidden is not None and depth <= hidden:
+            hidden = None
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
             linked = " ".join(html.unescape("".join(links)).split())
-            path = tuple(name for _, names in stack for name in names)
+            path = tuple(name for _, names in stack[:hidden] for name in names)
             blocks.append(Block(text, path, min(1.0, len(linked) / len(text))))
         pieces.clear()
         links.clear()
 
     def text(part: str) -> None:
-        if part:
+        if part and hidden is None:
             pieces.append(part)
             if inside_link:
                 links.append(part)
 
-    at = 0
-    for found in _PIECE.finditer(page):
+    found_all = list(_PIECE.finditer(page))
+    ends = _hidden_ends(found_all)
+    at, skip_to = 0, -1
+    for i, found in enumerate(found_all):
+        if i <= skip_to:
+            at = found.end()
+            continue
         text(page[at:found.start()])
         at = found.end()
-        tag = (found[3] or "").lower()
+        tag, opens = _tag(found)
         if not tag:
             continue
+        if i in ends:
+            skip_to = ends[i]
+            continue
         closing, inline = bool(found[2]), tag in INLINE
+        if hidden is not None and not closing and tag not in HEAD:
+            for depth, (open_, _) in enumerate(stack):
+                if open_ == "head":
+                    cut(depth)
+                    break
+        if opens and tag in HIDDEN:
+            if hidden is None:
+                hidden = len(stack)
+            stack.append((tag, (tag,)))
+            continue
         if tag in ("br", "img", "wbr"):
             text(" ")
             continue
-        if not inline:
+        if not inline and not (closing and tag in HIDDEN):
             flush()
         if tag in VOID:
             continue
         if closing:
-            if any(t == tag for t, _ in stack):
-                while stack:
-                    gone = stack.pop()[0]
-                    inside_link -= gone == "a"
-                    if gone == tag:
-                        break
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] == tag:
+                    cut(depth)
+                    break
             continue
         closes = CLOSES.get(tag, ())
         for depth in range(len(stack) - 1, -1, -1):
             open_ = stack[depth][0]
             if open_ in closes:
-                inside_link -= sum(t == "a" for t, _ in stack[depth:])
-                del stack[depth:]
+                cut(depth)
                 break
-            if open_ not in INLINE and open_ not in ("p",):
+            if open_ not in INLINE and open_ not in ("p",) and open_ not in HIDDEN:
                 break
         if not inline and stack and stack[-1][0] in INLINE and tag != "a":
             # A block inside an unclosed inline element: that element ends here.
             while stack and stack[-1][0] in INLINE and stack[-1][0] != "a":
                 stack.pop()
-        if not found[4].endswith("/"):
+        if opens:
             stack.append((tag, _names(tag, found[4])))
             inside_link += tag == "a"
     text(page[at:])

@@ -93,3 +93,23 @@ def test_gradients():
             down = loss()
             flat[at] = old
             assert abs((up - down) / 2e-4 - g[at]) < 2e-4 + 0.02 * abs(g[at]), name
+
+
+def test_unclosed_hidden_elements():
+    def split(page):
+        return [(b.text, b.path) for b in split_blocks(page)]
+
+    story = [("Hello there", ("html", "body", "article", "p"))]
+    rest = "<body><article><p>Hello there</p></article></body></html>"
+    assert split(f"<html><head><title>t</title>{rest}") == story
+    assert split(f"<html><head><meta charset=x><noscript><link href=x>{rest}") == story
+    assert split("<head><title>t</title><p>Hello there") == [("Hello there", ("p",))]
+    assert split(f"<html><head><title>t</title><noscript>no</noscript></head>{rest}") == story
+    for tag in ("noscript", "select", "svg", "object", "audio", "video", "canvas"):
+        for gap in (f"<div>a<{tag} class=x>b<i>c</i></div>", f"<ul><li>a<{tag}>b<li>d</ul>",
+                    f"<div>a<{tag}>b</div><{tag}>c</{tag}>"):
+            page = f"<html><body>{gap}<article><p>Hello <{tag}><p>x</p></{tag}>there</p></article></body></html>"
+            texts = [b.text for b in split_blocks(page)]
+            assert texts == ["a", *(["d"] if "<li>" in gap else []), "Hello there"], (tag, gap)
+            assert split_blocks(page)[-1].path == story[0][1]
+    assert split("<p>a</p><script>b <p>c</p>") == [("a", ("p",))]
