@@ -60,7 +60,7 @@ def features(blocks: list[Block]) -> tuple[list[list[int]], list[list[int]], np.
     paths, words = [], []
     measures = np.zeros((len(blocks), MEASURES), np.float32)
     for i, block in enumerate(blocks):
-        paths.append([slot(n, PATH_SLOTS) for n in block.path[-24:]] or [0])
+        paths.append([slot(n, PATH_SLOTS) for n in block.path] or [0])
         own = block.text.split()
         words.append([slot(w.lower(), WORD_SLOTS) for w in own])
         n = len(block.text)

@@ -113,3 +113,9 @@ def test_unclosed_hidden_elements():
             assert texts == ["a", *(["d"] if "<li>" in gap else []), "Hello there"], (tag, gap)
             assert split_blocks(page)[-1].path == story[0][1]
     assert split("<p>a</p><script>b <p>c</p>") == [("a", ("p",))]
+
+
+def test_features_of_deep_paths():
+    inner = '<div class="col-md-8 col-sm-12">' * 8 + "<p>Words.</p>" + "</div>" * 8
+    paths = [features(split_blocks(f"<{tag}>{inner}</{tag}>"))[0][0] for tag in ("article", "footer")]
+    assert len(paths[0]) > 24 and paths[0][0] != paths[1][0] and paths[0][1:] == paths[1][1:]
