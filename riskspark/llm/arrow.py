@@ -54,6 +54,11 @@ def to_batch(columns: dict, schema: StructType) -> pa.RecordBatch:
         [a if a.type == f.type else a.cast(f.type) for a, f in zip(made, target, strict=True)], schema=target)
 
 
+def text_key(text: Column) -> Column:
+    """32 bytes that tell texts apart; a null is the empty text."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
 def same(left: Column, right: Column) -> Column:
     """Equality for join keys under which nulls meet nulls."""
     return left.eqNullSafe(right)

@@ -15,11 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskspark.llm.arrow import parts, texts, to_batch
+from riskspark.llm.arrow import parts, same, text_key, texts, to_batch
 from riskspark.llm.components import components
 from riskspark.session import shared_dir
 
@@ -174,6 +174,14 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .applyInArrow(connect, "a bigint, b bigint").distinct())
 
 
+def _rooted(own: DataFrame, key: Column, max_bits: int) -> DataFrame:
+    """``fp``, ``least`` (the least key) and ``root`` of its component, of every fingerprint."""
+    distinct = own.groupBy("fp").agg(F.min(key).alias("least")).checkpoint()
+    roots = components(links(distinct.select("fp"), max_bits), "a", "b")
+    return (distinct.join(roots, distinct["fp"] == roots["node"], "left")
+            .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     doc_id: str = "doc_id") -> DataFrame:
     """The id, ``fingerprint`` and ``component_id`` of every row.
@@ -186,10 +194,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """
     shared_dir(docs.sparkSession)
     own = fingerprints(docs, shingle, doc_id).checkpoint()
-    distinct = own.groupBy("fp").agg(F.min(doc_id).alias("least")).checkpoint()
-    roots = components(links(distinct.select("fp"), max_bits), "a", "b")
-    rooted = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(own, F.col(doc_id), max_bits)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()
     members = rooted.join(named, "root").select("fp", "component_id").checkpoint()
     return own.join(members, "fp").select(doc_id, hex_text(F.col("fp")).alias("fingerprint"),
@@ -198,15 +203,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
              doc_id: str = "doc_id") -> DataFrame:
-    """One document of each component: the one with the smallest id, with all its columns.
+    """One row of each component, with all its columns: that of the smallest id, then by text.
 
-    Rows of one id are one document (the first by text stays). Of a component of null ids alone
-    every row stays, since none of them can be named.
+    Rows that share an id are rows of their own, and so are rows without one, which come last.
+    Of rows equal in id and text any one stays.
     """
-    keep = (near_duplicates(docs, shingle, max_bits, doc_id)
-            .where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-            .select(F.col(doc_id).alias("_kept")).distinct())
-    own = docs.join(keep, docs[doc_id].eqNullSafe(keep["_kept"]), "left_semi")
-    order = Window.partitionBy(doc_id).orderBy("text")
-    first = own.withColumn("_row", F.row_number().over(order))
-    return first.where((F.col("_row") == 1) | F.col(doc_id).isNull()).drop("_row")
+    shared_dir(docs.sparkSession)
+    key = F.struct(F.col(doc_id).isNull().alias("nameless"), F.col(doc_id).alias("id"),
+                   text_key(F.col("text")).alias("text"))
+    own = fingerprints(docs.select(key.alias("_key"), "text"), shingle, "_key").checkpoint()
+    kept = (_rooted(own, F.col("_key"), max_bits).groupBy("root").agg(F.min("least").alias("_key"))
+            .select(F.col("_key.id").alias("_kept"), F.col("_key.text").alias("_kept_text")).checkpoint())
+    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
+    return (keyed.join(kept, same(keyed[doc_id], kept["_kept"])
+                       & (keyed["_text_key"] == kept["_kept_text"]), "left_semi")
+            .dropDuplicates([doc_id, "_text_key"]).drop("_text_key"))

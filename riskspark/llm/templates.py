@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType,
                                StructField, StructType)
 
-from riskspark.llm.arrow import parts, texts, to_batch
+from riskspark.llm.arrow import parts, same, text_key, texts, to_batch
 from riskspark.llm.tokens import Words, worker_memory
 from riskspark.session import shared_dir
 
@@ -305,7 +305,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                       **options) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns."""
-    bad = contaminated(docs, benchmark, doc_id=doc_id, **options).select(
-        F.col(doc_id).alias("_bad")).distinct()
-    return docs.join(bad, docs[doc_id] == bad["_bad"], "left_anti")
+    """The documents that hold no benchmark item, with all their columns.
+
+    Each row is judged by its own text, whatever other rows share its id or have none.
+    """
+    key = F.struct(F.col(doc_id).alias("id"), text_key(F.col("text")).alias("text"))
+    bad = (contaminated(docs.select(key.alias("_key"), "text"), benchmark, doc_id="_key", **options)
+           .select(F.col("_key.id").alias("_bad"), F.col("_key.text").alias("_bad_text")).distinct())
+    return docs.join(bad, same(docs[doc_id], bad["_bad"])
+                     & (text_key(docs["text"]) == bad["_bad_text"]), "left_anti")

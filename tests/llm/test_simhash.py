@@ -115,3 +115,12 @@ def test_keep_one(make_docs, odd):
     ids = [r.doc_id for r in kept]
     assert ids.count(5) == 1 and 11 not in ids and 1 in ids and 2 not in ids
     assert kept[0].__fields__[-1] == "extra"
+
+
+def test_keep_one_of_rows_that_share_an_id(make_docs):
+    three, nine = ("the old mill stands by the river and grinds the corn of three villages",
+                   "nine grey gulls follow a small boat out of the harbour every windy morning")
+    docs = make_docs([(7, three), (7, nine), (3, three), (9, nine), (7, nine), (None, three), (None, "a b c"),
+                      (None, "a b c"), (7, "something else altogether, which copies nothing")])
+    kept = sorted((r.doc_id or 0, r.text) for r in keep_one(docs).collect())
+    assert kept == [(0, "a b c"), (3, three), (7, nine), (7, "something else altogether, which copies nothing")]

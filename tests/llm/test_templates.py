@@ -97,3 +97,9 @@ def test_names_in_other_letter_case(make_docs, spark):
     want = {(d, i): d != 3 for d in range(5) for i in (1, 2)}
     assert pairs(contaminated(docs, benchmark)) == want
     assert pairs(contaminated(docs, benchmark, filter_windows=0)) == want
+
+
+def test_rows_that_share_an_id_are_judged_alone(make_docs, benchmark):
+    docs = make_docs([(1, ITEM), (1, "a clean text"), (1, None), (None, f"x {ITEM}"), (None, "clean too")])
+    kept = {(r.doc_id, r.text) for r in drop_contaminated(docs, benchmark).collect()}
+    assert kept == {(1, "a clean text"), (1, None), (None, "clean too")}
