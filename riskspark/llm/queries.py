@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import (idfiles, labeller, lines, packing, quality, sharding, simhash, templates,
-                           tokencount, topk)
+from riskspark.llm import (anchors, centroids, idfiles, labeller, lines, packing, periods, quality,
+                           sharding, simhash, templates, tokencount, topk)
 from riskspark.llm.slots import LEAST_BUCKETS, ROWS_PER_BUCKET
 from riskspark.llm.tokens import public_path
 from riskspark.session import work_path
@@ -78,9 +78,47 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_read(spark, sf_dir, "documents"), public_path(WORD_BPE))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Ids and texts; of each tenth document by the checksum of its id, the end is made periodic.
+
+    From word a on, the text repeats the p words there. A null id or text is left as it is.
+    """
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(checksum / 10).cast("bigint")
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    times = (F.floor((n - a) / p) + 1).cast("int")
+    periodic = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    return docs.select("doc_id", F.when(
+        (checksum % 10 == 0) & F.col("text").isNotNull() & (n > 0),
+        F.array_join(F.concat(F.slice(words, F.lit(1), a), periodic), " "))
+        .otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, and the digest of its words without repeated periods."""
+    docs = with_planted_periods(_read(spark, sf_dir, "documents"))
+    return periods.run_digests(periods.collapse_runs(docs))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words or more that a smaller document has."""
+    kept = anchors.drop_repeats(_read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256)
+                       .alias("kept_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector after three rounds."""
+    return centroids.centroid_clusters(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_sharding, op2_line_dedup, op3_packing, op4_quality, op5_simhash, op6_decontamination,
-    op7_html_extraction, op8_token_files, op9_top_k, op10_token_counts)}
+    op7_html_extraction, op8_token_files, op9_top_k, op10_token_counts,
+    op11_periodic_runs, op12_substring_dedup, op13_centroids)}
 
 _SHARDING_SQL = f"""
 WITH RECURSIVE crc_table AS (
@@ -143,4 +181,60 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
       FROM scored) WHERE rank <= 20"""
 
-ORACLES = {"op1_sharding": _SHARDING_SQL, "op2_line_dedup": _LINES_SQL, "op9_top_k": _TOP_SQL}
+_SUBSTRING_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(doc_id, -9223372036854775808) AS id, row_number() OVER () AS r,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+windows AS (
+  SELECT r, id, unnest(range(len(words) - 49)) AS s, words FROM docs WHERE len(words) >= 50),
+hashed AS (SELECT r, id, s, md5(array_to_string(words[s + 1:s + 50], ' ')) AS h FROM windows),
+later AS (SELECT r, s FROM (SELECT *, min(id) OVER (PARTITION BY h) AS first FROM hashed) WHERE id > first),
+gone AS (SELECT r, list(DISTINCT place) AS places FROM (SELECT r, unnest(range(s, s + 50)) AS place FROM later)
+         GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN words ELSE list_transform(
+         list_filter(range(len(words)), lambda i: NOT list_contains(places, i)),
+         lambda i: words[i + 1]) END, ' '), ''))
+         AS kept_sha256
+FROM docs LEFT JOIN gone USING (r)"""
+
+
+def _centroids_sql(rounds: int = centroids.ROUNDS) -> str:
+    """Each round spelled out: distances, the nearest centroid, floors of the means."""
+    steps = [f"""
+WITH fit AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {centroids.WIDTH}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v
+  FROM (SELECT v, sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM fit
+        ORDER BY h, v LIMIT {centroids.CLUSTERS}))"""]
+    for at in range(rounds + 1):
+        steps.append(f"""
+a{at} AS (
+  SELECT r, k, d FROM (
+    SELECT r, k, d, row_number() OVER (PARTITION BY r ORDER BY d, k) AS place FROM (
+      SELECT r, k, CAST(list_sum(list_transform(list_zip(fit.v, c{at}.v),
+                                 lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+      FROM fit, c{at})) WHERE place = 1)""")
+        if at < rounds:
+            steps.append(f"""
+m{at} AS (
+  SELECT k, list(CAST((total - ((total % n) + n) % n) / n AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT k, i, CAST(sum(x) AS BIGINT) AS total, count(*) AS n FROM (
+      SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM fit JOIN a{at} USING (r))
+    GROUP BY k, i) GROUP BY k),
+c{at + 1} AS (SELECT k, coalesce(m{at}.v, c{at}.v) AS v FROM c{at} LEFT JOIN m{at} USING (k))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM fit JOIN a{rounds} USING (r) JOIN c{rounds} c USING (k)"""
+
+
+ORACLES = {"op1_sharding": _SHARDING_SQL, "op2_line_dedup": _LINES_SQL, "op9_top_k": _TOP_SQL,
+           "op12_substring_dedup": _SUBSTRING_SQL, "op13_centroids": _centroids_sql()}
