@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions import columns as C
-from riskspark.operators.ordered import SLICE, join_carry, running_fold, running_number, slice_by_order
+from riskspark.operators.ordered import (HOT, SLICE, Slices, cut_slices, join_carry, running_fold,
+                                         running_number)
+from riskspark.session import shared_dir
 from riskspark.spec import (COOLDOWN_SECONDS, REQUESTS_PER_WINDOW, REUSE_SECONDS, WINDOW_SECONDS)
 
 
@@ -111,16 +113,22 @@ def reuse_results(df: DataFrame, key: str, ts: str, id: str, seconds: int = REUS
     nothing that others could use (``computed_us`` null).
 
     A hot key spreads over many slices. For each of its slices a task works out where the
-    chain of computations leaves the slice for every way of entering it. Mostly that is one
-    answer, whatever the entry; runs of slices where it is not are resolved in order. With
-    the entries known, all slices mark their computations independently.
+    chain of computations leaves the slice for every way of entering it (its leave map).
+    Neighbouring slices' maps are composed pairwise, level by level, and the entries handed
+    down the same tree, so no task holds more than two maps. With the entries known, all slices
+    mark their computations independently.
     """
     ttl = seconds * 1_000_000
     timed = df.withColumn("_us", C.micros(ts))
-    sliced = slice_by_order(timed.where("_us is not null"), [key], ["_us", id], slices)
-    entries = _reuse_entries(sliced, key, ttl)
+    ordered = timed.where("_us is not null")
+    cut = cut_slices(ordered, [key], ["_us", id], slices)
+    sliced = cut.add(ordered)
+    if cut.cuts is None:
+        entered = sliced.withColumn("_entry_us", F.lit(None).cast("bigint"))
+    else:
+        entered = sliced.join(F.broadcast(_reuse_entries(sliced, cut, ttl)), [SLICE], "left")
     # A slice's keys go to Python as whole numbers: nulls and long keys stay in the JVM.
-    entered = join_carry(sliced, entries, [key]).withColumn(
+    entered = entered.drop(HOT).withColumn(
         "_code", F.dense_rank().over(Window.partitionBy(SLICE).orderBy(key)))
     computed = (entered.select(SLICE, F.col("_code").alias("_key"), "_us", "_entry_us")
                 .groupBy(SLICE)
@@ -142,36 +150,63 @@ def reuse_results(df: DataFrame, key: str, ts: str, id: str, seconds: int = REUS
     return served.unionByName(untimed)
 
 
-def _reuse_entries(sliced: DataFrame, key: str, ttl: int) -> DataFrame:
-    """Last computation before each slice a key continues into: ``(slice, key, _entry_us)``."""
-    key_type = sliced.schema[key].dataType.simpleString()
-    parts = sliced.groupBy(SLICE, key).agg(F.count(F.lit(1)).alias("_rows"))
-    # At most one key continues into any slice, so fewer keys span slices than there are slices.
-    spanning = parts.groupBy(key).agg(F.count(F.lit(1)).alias("_parts")).where("_parts > 1")
-    spread = (sliced.select(SLICE, F.col(key).alias("_key"), "_us")
-              .join(F.broadcast(spanning.select(F.col(key).alias("_hot"))),
-                    F.col("_key").eqNullSafe(F.col("_hot")), "left_semi"))
-    steps = spread.groupBy(SLICE, "_key").applyInPandas(
-        _slice_steps(SLICE, ttl),
-        f"{SLICE} int, _key {key_type}, last_us bigint, upto array<bigint>, "
-        "leaves array<bigint>, settled boolean")
-    # A settled slice is left the same way whatever the entry; it ends a run.
-    order = Window.partitionBy("_key").orderBy(SLICE)
-    runs = (steps.withColumn("_run", F.sum(F.col("settled").cast("int")).over(
-                order.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("_run", F.coalesce("_run", F.lit(0)))
-            .withColumn("_seed", F.lag(F.when(F.col("settled"), F.col("leaves")[0])).over(order)))
-    resolved = runs.groupBy("_key", "_run").applyInPandas(
-        _resolve_run(SLICE, ttl), f"{SLICE} int, _key {key_type}, _entry_us bigint")
-    return resolved.withColumnRenamed("_key", key)
-
-
-# The functions below are shipped to the tasks, so each one is self-contained.
-
-def _slice_steps(slice_name: str, ttl: int):
+MAPS = f"{HOT} int, place int, first_us bigint, last_us bigint, upto array<bigint>, leaves array<bigint>"
+
+
+def _reuse_entries(sliced: DataFrame, cut: Slices, ttl: int) -> DataFrame:
+    """Last computation before each slice of a hot key: ``(slice, _entry_us)``.
+
+    Levels are checkpointed: each has a map for every second one of the level below, and is
+    read on the way up and once more on the way down.
+    """
+    shared_dir(sliced.sparkSession)
+    hot = sliced.where(F.col(HOT).isNotNull())
+    first = cut.cuts.select(F.col(HOT).alias("_h"), "_first")
+    maps = (hot.join(F.broadcast(first), F.col(HOT) == F.col("_h"))
+            .select(HOT, (F.col(SLICE) - F.col("_first")).alias("place"), "_us")
+            .groupBy(HOT, "place").applyInPandas(_leave_map(ttl), MAPS).checkpoint())
+    levels, size = [maps], cut.longest
+    while size > 2:  # the way down needs no map of a whole key
+        size = -(-size // 2)
+        levels.append(levels[-1].groupBy(HOT, (F.col("place") / 2).cast("int").alias("_pair"))
+                      .applyInPandas(_compose_maps(ttl), MAPS).checkpoint())
+    entries = levels[-1].select(HOT, F.lit(0).alias("place"),
+                                F.lit(None).cast("bigint").alias("_entry_us")).distinct()
+    for level in reversed(levels):
+        entries = (level.groupBy(HOT, (F.col("place") / 2).cast("int").alias("_pair"))
+                   .cogroup(entries.groupBy(HOT, F.col("place").alias("_pair")))
+                   .applyInPandas(_hand_down(ttl), f"{HOT} int, place int, _entry_us bigint"))
+        entries = entries.checkpoint()
+    return (entries.join(F.broadcast(first), F.col(HOT) == F.col("_h")).where("_entry_us is not null")
+            .select((F.col("_first") + F.col("place")).cast("int").alias(SLICE), "_entry_us"))
+
+
+# Shipped to the tasks. A leave map tells, for a computation at e before a slice, the last
+# computation when the slice ends. With x = e + ttl: ``leaves[j]`` for x above ``upto[j - 1]`` and
+# not above ``upto[j]``; e itself for x above ``last_us``; ``leaves[0]`` if there is none before.
+
+def _left_by(ttl: int, entries, last: int, upto, leaves):
+    """The map applied to an array of computations."""
+    import numpy as np
+
+    upto, leaves = np.asarray(upto, np.int64), np.asarray(leaves, np.int64)
+    at = np.searchsorted(upto, entries + ttl, "left")
+    return np.where(entries + ttl > last, entries, leaves[np.minimum(at, len(leaves) - 1)])
+
+
+def _map_row(hot: int, place: int, first: int, last: int, upto, leaves):
+    """One map; neighbouring ranges that are left alike become one."""
+    import numpy as np
+    import pandas as pd
+
+    ends = np.append(np.flatnonzero(leaves[1:] != leaves[:-1]), len(leaves) - 1)
+    return pd.DataFrame({HOT: [hot], "place": [place], "first_us": [first], "last_us": [last],
+                         "upto": [upto[ends].tolist()], "leaves": [leaves[ends].tolist()]})
+
+
+def _leave_map(ttl: int):
     def steps(pdf):
         import numpy as np
-        import pandas as pd
 
         times = np.unique(pdf["_us"].to_numpy())
         n = len(times)
@@ -181,37 +216,50 @@ def _slice_steps(slice_name: str, ttl: int):
             leave = leave[leave]
         # An earlier computation expires at most ttl after the slice's first request.
         reach = min(int(np.searchsorted(times, times[0] + ttl, "left")), n - 1)
-        leave = leave[:reach + 1]
-        ends = np.append(np.flatnonzero(leave[1:] != leave[:-1]), reach)
-        settled = len(ends) == 1 and times[0] + ttl <= times[-1]
-        return pd.DataFrame({
-            slice_name: pdf[slice_name].iloc[:1].to_numpy(), "_key": pdf["_key"].iloc[:1].array,
-            "last_us": [int(times[-1])], "upto": [times[ends].tolist()],
-            "leaves": [times[leave[ends]].tolist()], "settled": [bool(settled)]})
+        return _map_row(int(pdf[HOT].iloc[0]), int(pdf["place"].iloc[0]), int(times[0]),
+                        int(times[-1]), times[:reach + 1], times[leave[:reach + 1]])
     return steps
 
 
-def _resolve_run(slice_name: str, ttl: int):
-    def resolve(pdf):
-        import bisect
+def _compose_maps(ttl: int):
+    """One map of two neighbours (or of one that has no second)."""
+    def compose(pdf):
+        import numpy as np
 
+        pdf = pdf.sort_values("place")
+        near = pdf.iloc[0]
+        first, last = int(near["first_us"]), int(near["last_us"])
+        upto, leaves = np.asarray(near["upto"], np.int64), np.asarray(near["leaves"], np.int64)
+        if len(pdf) > 1:
+            far = pdf.iloc[1]
+            leaves = _left_by(ttl, leaves, int(far["last_us"]), far["upto"], far["leaves"])
+            if last < first + ttl:  # a computation before the first slice can outlast it
+                beyond = np.asarray(far["upto"], np.int64)
+                until = int(np.searchsorted(beyond, first + ttl, "left")) + 1
+                new = np.flatnonzero(beyond[:until] > last)
+                upto = np.append(upto, beyond[new])
+                leaves = np.append(leaves, np.asarray(far["leaves"], np.int64)[new])
+            last = int(far["last_us"])
+        return _map_row(int(near[HOT]), int(near["place"]) // 2, first, last, upto, leaves)
+    return compose
+
+
+def _hand_down(ttl: int):
+    """The entries of a pair's slices from the pair's own entry."""
+    def down(maps, entries):
+        import numpy as np
         import pandas as pd
 
-        pdf = pdf.sort_values(slice_name)
-        seed = pdf["_seed"].iloc[0]
-        state = None if pd.isna(seed) else int(seed)
-        entries = []
-        for last, upto, leaves in zip(pdf["last_us"], pdf["upto"], pdf["leaves"]):
-            entries.append(state)
-            if state is None:
-                state = int(leaves[0])
-            elif state + ttl <= last:
-                state = int(leaves[bisect.bisect_left(upto, state + ttl)])
-        result = pd.DataFrame({slice_name: pdf[slice_name].to_numpy(),
-                               "_key": pdf["_key"].to_numpy(),
-                               "_entry_us": pd.array(entries, dtype="Int64")})
-        return result[result["_entry_us"].notna()]
-    return resolve
+        maps = maps.sort_values("place")
+        into = entries["_entry_us"].iloc[0] if len(entries) else None
+        known = [None if pd.isna(into) else int(into)]
+        if len(maps) > 1:
+            near = maps.iloc[0]
+            known.append(int(near["leaves"][0]) if known[0] is None else int(_left_by(
+                ttl, np.array([known[0]]), int(near["last_us"]), near["upto"], near["leaves"])[0]))
+        return pd.DataFrame({HOT: maps[HOT].to_numpy(), "place": maps["place"].to_numpy(),
+                             "_entry_us": pd.array(known, dtype="Int64")})
+    return down
 
 
 def _mark_computations(slice_name: str, ttl: int):

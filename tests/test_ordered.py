@@ -93,3 +93,55 @@ def test_earlier_rows_are_counted_in(spark, df):
     added = F.when(F.col("k") == "hot", 7).when(F.col("k").isNull(), 2).otherwise(0)
     assert shifted.join(plain, "id").where(F.col("m") != F.col("n") + added).count() == 0
     assert shifted.count() == df.count()
+
+
+def test_slices_are_literals_and_nothing_is_written(spark, df):
+    """Neither a work table nor a copy of the rows: the plan reads its input, cuts are local rows."""
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+    numbered = running_number(df, ["k"], ["t", "id"], "n", 6)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan or "LogicalRDD" in plan
+    assert "parquet" not in plan.lower()
+    assert (sorted(os.listdir(folder)) if os.path.isdir(folder) else []) == before
+
+
+def test_without_a_hot_key_it_is_a_plain_window(spark):
+    even = spark.range(1000).selectExpr("id % 100 as k", "id")
+    plan = running_number(even, ["k"], ["id"], "n", 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window ") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("slices", [3, 40, 400])
+def test_slices_follow_the_order_of_their_key(spark, df, slices):
+    rows = slice_by_order(df, ["k"], ["t", "id"], slices).collect()
+    for key in ("hot", "a", "b", None):
+        own = sorted((r.t, r.id, r[SLICE]) for r in rows if r.k == key)
+        assert [s for _, _, s in own] == sorted(s for _, _, s in own)
+    by_slice = {}
+    for r in rows:
+        by_slice.setdefault(r[SLICE], set()).add(r.k)
+    hot = {r[SLICE] for r in rows if r.k == "hot"}
+    assert len(hot) > slices // 4
+    assert all(by_slice[s] == {"hot"} for s in hot)
+
+
+def test_more_cuts_than_a_chunk_holds(spark, monkeypatch):
+    import riskspark.operators.ordered as ordered
+
+    monkeypatch.setattr(ordered, "CHUNK", 4)
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) k", "id div 7 t", "id")
+    w = Window.partitionBy("k").orderBy("t", "id")
+    for slices in (30, 700):
+        got = running_number(rows, ["k"], ["t", "id"], "n", slices)
+        assert got.join(rows.withColumn("e", F.row_number().over(w)), "id").where("n != e").count() == 0
+
+
+def test_order_by_times_and_texts(spark):
+    rows = (spark.range(900).selectExpr("'k' k", "timestamp_seconds(id div 5) t",
+                                        "if(id % 9 = 0, null, cast(id as string)) s", "id"))
+    w = Window.partitionBy("k").orderBy("t", "s", "id")
+    got = running_number(rows, ["k"], ["t", "s", "id"], "n", 12)
+    assert got.join(rows.withColumn("e", F.row_number().over(w)), "id").where("n != e").count() == 0

@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,58 @@ def test_cache_lookup_splits_whole(spark):
     asked = frame(spark, [("a", 1), ("b", 2), ("a", 3)])
     hits, misses = serving.cache_lookup(asked, asked.where(F.col("k") == "a"), "k")
     assert (hits.count(), misses.count()) == (2, 1)
+
+
+def chain(times, ttl, before=None):
+    """Times that compute, one request after the other."""
+    out = []
+    for t in sorted(times):
+        if before is None or t >= before + ttl:
+            before = t
+            out.append(t)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_composed_leave_maps_equal_the_chain(seed):
+
+    import pandas as pd
+
+    from riskspark.operators.serving import HOT, _compose_maps, _leave_map, _left_by
+
+    r, ttl = random.Random(seed), 50
+    for _ in range(60):
+        times = sorted(r.randrange(400) for _ in range(r.randint(2, 80)))
+        parts = r.randint(1, 9)
+        cuts = sorted(r.randrange(len(times) + 1) for _ in range(parts - 1))
+        slices = [times[a:b] for a, b in zip([0, *cuts], [*cuts, len(times)], strict=True)]
+        maps = [_leave_map(ttl)(pd.DataFrame({HOT: 0, "place": i, "_us": s}))
+                for i, s in enumerate(slices) if s]
+        while len(maps) > 1:
+            pairs = {}
+            for m in maps:
+                pairs.setdefault(int(m["place"].iloc[0]) // 2, []).append(m)
+            maps = [_compose_maps(ttl)(pd.concat(p, ignore_index=True)) for p in pairs.values()]
+        whole = maps[0].iloc[0]
+        assert whole["leaves"][0] == chain(times, ttl)[-1]
+        assert len(whole["upto"]) <= len({t for t in times if t < times[0] + ttl}) + 1
+        for e in range(times[0] - 2 * ttl, times[0] + 1):
+            got = int(_left_by(ttl, np.array([e]), whole["last_us"], whole["upto"], whole["leaves"])[0])
+            assert got == ([e] + chain(times, ttl, e))[-1], (times, cuts, e)
+
+
+@pytest.mark.parametrize("slices", [2, 9, 60])
+def test_a_hot_key_with_slices_shorter_than_the_reuse_period(spark, slices):
+    r = random.Random(slices)
+    rows = [("hot" if r.random() < 0.8 else r.choice(["a", None]), r.randrange(4000), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, s int, id int").selectExpr(
+        "k", "timestamp_seconds(s) ts", "id")
+    got = {x.id: (x.computed_us, x.hit) for x in
+           serving.reuse_results(df, "k", "ts", "id", 700, slices).select("id", "computed_us", "hit").collect()}
+    for key in ("hot", "a", None):
+        own = sorted((s, i) for k, s, i in rows if k == key)
+        last = None
+        for s, i in own:
+            hit = last is not None and s < last + 700
+            last = last if hit else s
+            assert got[i] == (last * 1_000_000, hit)
