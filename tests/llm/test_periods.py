@@ -89,7 +89,8 @@ def test_tiles_overlap_and_reach_the_end():
             assert set(by_octave) >= set(range((size // 4).bit_length()))
             for k, tiles in by_octave.items():
                 assert tiles[0][0] == 0 and tiles[-1][1] == size
-                    assert all(a[1] == size or b[0] + 5 * 2 ** k <= a[1] for a, b in zip(tiles, tiles[1:], strict=False))
+                assert all(a[1] == size or b[0] + 5 * 2 ** k <= a[1]
+                           for a, b in zip(tiles, tiles[1:], strict=False))
 
 
 def test_rows_of_one_id(make_docs):
