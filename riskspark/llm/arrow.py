@@ -64,6 +64,14 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column has it (in any letter case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def rows_of(df: DataFrame) -> int:
     """Number of rows (Parquet answers from its footers)."""
     return df.select(F.lit(1)).count()

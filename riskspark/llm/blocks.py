@@ -4,14 +4,26 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
-# A comment, a whole element of raw text that is not shown, or a tag (quoted values may hold '>').
+# Attributes as the HTML standard reads them: quotes count only at the start of a value, an unquoted
+# value ends at white space or '>', and a name may hold anything else. Nothing is tried twice.
+_ATTRIBUTES = (r"(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?+)?+|=)*+")
+# A comment, a whole element of raw text that is not shown, or a tag.
 _PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<!/)>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+    r"<!--(?:-?>|.*?(?:-->|\Z))"
+    rf"|<(script|style|title|textarea)(?=[\s/>]){_ATTRIBUTES}(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(?:>|(\Z))|<[!?/][^>]*+(?:>|(\Z))", re.S | re.I)
+# The same where some tag never ends: from there on, a tag ends at the next '>'.
+_PLAIN_PIECE = re.compile(
+    r"<!--(?:-?>|.*?(?:-->|\Z))|<(script|style|title|textarea)(?=[\s/>])[^>]*+(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>", re.S | re.I)
+_ATTRIBUTE = re.compile(r"(?<![^\s/\"'])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+", re.I)
+#: Elements below so many others are read as if they stood beside the last of those.
+MOST_DEPTH = 100
 # Elements that stand inside a line of text, and elements without content.
 INLINE = frozenset("a abbr acronym b bdi bdo big br button cite code data del dfn em font i img ins "
                    "kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt "
@@ -34,15 +46,37 @@ class Block:
     linked: float
 
 
+def token_names(kind: str, token: str) -> tuple[str, ...]:
+    """Names for one word of a class, id or role: the whole token, and its parts if it has several."""
+    token = token.lower()
+    words = _NAME.findall(token)
+    return (f"{kind}:{token}", *([f"{kind}-part:{w}" for w in words] if words != [token] else []))
+
+
+@lru_cache(maxsize=8192)
 def _names(tag: str, attributes: str) -> tuple[str, ...]:
-    """The tag, and the words of its class, id and role."""
+    """The tag, and names for its class, id and role.
+
+    Those of ``html`` and ``body`` tell of the page, not of the text in it, and are left out.
+    """
     out = [tag]
-    if attributes:
+    if attributes and tag not in ("html", "body"):
         for kind, *values in _ATTRIBUTE.findall(attributes):
-            out += [f"{kind[0].lower()}:{word.lower()}" for word in _NAME.findall("".join(values))]
+            for token in "".join(values).split():
+                out += token_names(kind[0].lower(), token)
     return tuple(out)
 
 
+def _pieces(page: str) -> list[re.Match]:
+    """Comments, raw elements and tags in order; time is linear in the page."""
+    found = []
+    for piece in _PIECE.finditer(page):
+        if piece[5] is not None or piece[6] is not None:  # never ends: its quotes are not meant so
+            return found + list(_PLAIN_PIECE.finditer(page, piece.start(), page.rfind(">") + 1))
+        found.append(piece)
+    return found
+
+
 def _tag(found: re.Match) -> tuple[str, bool]:
     """The name of a tag, empty for other pieces, and whether it opens an element with content."""
     tag = (found[3] or "").lower()
@@ -81,12 +115,14 @@ def split_blocks(page: str) -> list[Block]:
     are decoded, white space becomes one space, and blocks without text are left out. Inline
     tags do not end a block; a line break is white space. Unclosed elements are tolerated: a head
     ends at the first tag that cannot stand in it, and other elements that are not shown end with
-    their parent. Only script, style, title and textarea may run to the end of the page.
+    their parent. Only script, style, title and textarea may run to the end of the page. A tag that
+    never ends for its quotes ends at the next ``>``.
     """
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
     links: list[str] = []
+    standing: Counter[str] = Counter()
     inside_link = 0
     #: Place in the stack of an unclosed element, or a head, that is not shown.
     hidden: int | None = None
@@ -94,6 +130,7 @@ def split_blocks(page: str) -> list[Block]:
     def cut(depth: int) -> None:
         nonlocal inside_link, hidden
         inside_link -= sum(t == "a" for t, _ in stack[depth:])
+        standing.subtract(t for t, _ in stack[depth:])
         del stack[depth:]
         if hidden is not None and depth <= hidden:
             hidden = None
@@ -113,7 +150,7 @@ def split_blocks(page: str) -> list[Block]:
             if inside_link:
                 links.append(part)
 
-    found_all = list(_PIECE.finditer(page))
+    found_all = _pieces(page)
     ends = _hidden_ends(found_all)
     at, skip_to = 0, -1
     for i, found in enumerate(found_all):
@@ -135,9 +172,12 @@ def split_blocks(page: str) -> list[Block]:
                     cut(depth)
                     break
         if opens and tag in HIDDEN:
+            if len(stack) >= MOST_DEPTH:
+                cut(MOST_DEPTH - 1)
             if hidden is None:
                 hidden = len(stack)
             stack.append((tag, (tag,)))
+            standing[tag] += 1
             continue
         if tag in ("br", "img", "wbr"):
             text(" ")
@@ -147,7 +187,7 @@ def split_blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1, -1, -1) if standing[tag] else ():
                 if stack[depth][0] == tag:
                     cut(depth)
                     break
@@ -162,10 +202,15 @@ def split_blocks(page: str) -> list[Block]:
                 break
         if not inline and stack and stack[-1][0] in INLINE and tag != "a":
             # A block inside an unclosed inline element: that element ends here.
-            while stack and stack[-1][0] in INLINE and stack[-1][0] != "a":
-                stack.pop()
+            depth = len(stack)
+            while depth and stack[depth - 1][0] in INLINE and stack[depth - 1][0] != "a":
+                depth -= 1
+            cut(depth)
         if opens:
+            if len(stack) >= MOST_DEPTH:
+                cut(MOST_DEPTH - 1)
             stack.append((tag, _names(tag, found[4])))
+            standing[tag] += 1
             inside_link += tag == "a"
     text(page[at:])
     flush()

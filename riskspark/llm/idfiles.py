@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StructField,
                                StructType)
 
-from riskspark.llm.arrow import parts, texts, to_batch
+from riskspark.llm.arrow import parts, to_batch
 from riskspark.llm.idcoder import LANE_IDS, LANES, decode_block, encode_block
-from riskspark.llm.tokens import encoder
+from riskspark.llm.tokens import ENCODE_BYTES, ENCODE_ROWS, encoder
 
 END_ID = 2
 #: A block is closed once it holds so many ids.
 BLOCK_IDS = LANES * LANE_IDS
+#: Copies of one row (equal id and text) are dealt to so many places.
+SPREAD = 1 << 20
 
 
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
@@ -32,12 +34,14 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
     """Tokenise whole texts, end each with ``end_id`` and write them in ascending id order.
 
     A null or empty text is the end id alone. Null ids come first; documents with equal ids
-    follow each other in any order. An empty table writes a store without blocks.
+    follow each other in any order, each with an entry of its own, however many share an id. An
+    empty table writes a store without blocks. Other columns are not read.
     """
     kind = docs.schema[doc_id].dataType
     schema = StructType([
         StructField("file", IntegerType()), StructField("block", IntegerType()),
-        StructField("n_ids", LongType()), StructField("doc_ids", ArrayType(kind)),
+        StructField("n_ids", LongType()), StructField("earlier", LongType()),
+        StructField("doc_ids", ArrayType(kind)),
         StructField("lengths", ArrayType(LongType())), StructField("payload", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,52 +49,60 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
 
         file, encode, block = TaskContext.get().partitionId(), encoder(tokenizer), 0
         vocabulary = max(encode.size, end_id + 1)
-        end = np.array([end_id], encode.type).tobytes()
-        owners, streams, waiting = [], [], 0
+        kind_of_id = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+        owners, streams, lengths, waiting, earlier = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(streams), encode.type)
-            lengths = [len(s) // encode.type.itemsize for s in streams]
+            ids = np.concatenate(streams)
             return to_batch({"file": [file], "block": [block], "n_ids": [len(ids)],
-                             "doc_ids": [owners], "lengths": [lengths],
+                             "earlier": [earlier], "doc_ids": [owners], "lengths": [lengths],
                              "payload": [encode_block(ids, vocabulary)]}, schema)
 
-        for batch in parts(batches):
-            for owner, ids in zip(batch.column(0).to_pylist(), encode.encode(texts(batch)),
-                                  strict=True):
+        for batch in parts(batches, ENCODE_ROWS, ENCODE_BYTES):
+            every, ends = encode.encode_ragged(batch.column(1))
+            # The end id goes behind every document's own ids.
+            every = np.insert(every.astype(kind_of_id), ends[1:], end_id)
+            ends = ends + np.arange(len(ends))
+            for owner, a, b in zip(batch.column(0).to_pylist(), ends[:-1].tolist(),
+                                   ends[1:].tolist(), strict=True):
                 owners.append(owner)
-                streams.append(ids + end)
-                waiting += len(streams[-1]) // encode.type.itemsize
+                streams.append(every[a:b])
+                lengths.append(b - a)
+                waiting += b - a
                 if waiting >= block_ids:
                     yield close()
-                    owners, streams, waiting, block = [], [], 0, block + 1
+                    earlier += waiting
+                    owners, streams, lengths, waiting, block = [], [], [], 0, block + 1
         if owners:
             yield close()
 
-    (docs.select(doc_id, "text").repartitionByRange(doc_id).sortWithinPartitions(doc_id)
+    # Rows of one id are told apart by their text and a number, so that many of them spread.
+    mark, spread = F.xxhash64("text"), F.monotonically_increasing_id() % SPREAD
+    (docs.select(doc_id, "text", mark.alias("_mark"), spread.alias("_spread"))
+     .repartitionByRange(doc_id, "_mark", "_spread")
+     .sortWithinPartitions(doc_id, "_mark", "_spread").select(doc_id, "text")
      .mapInArrow(run, schema).write.parquet(path))
 
 
 def read_ids(spark: SparkSession, path: str, doc_id: str = "doc_id",
              with_ids: bool = False) -> DataFrame:
-    """Decode a store: a row for each document with its ``start`` among all ids of the corpus.
+    """Decode a store: a row for each written row with its ``start`` among all ids of the corpus.
+
+    Blocks hold how many ids precede them in their file, so only the files are added up, and
+    nothing is shuffled once the blocks are decoded.
 
     Returns the id, ``start``, ``n_tokens``, ``ids_crc32`` and, if asked, ``ids`` (little-endian
     unsigned 32-bit). A damaged block raises an error.
     """
     blocks = spark.read.parquet(path)
-    # Offsets from the block table alone: totals by file first, then inside each file.
-    files = blocks.groupBy("file").agg(F.sum("n_ids").alias("_ids"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("file", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("_file"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (blocks.select("file", "block", F.coalesce(F.sum("n_ids").over(before), F.lit(0))
-                             .alias("_block"))
-               .join(files, "file")
-               .select("file", "block", (F.col("_file") + F.col("_block")).alias("_start")))
+    # Where a file begins: one row for each task that wrote, added up before the blocks are read.
+    totals = blocks.groupBy("file").agg(F.sum("n_ids").alias("_ids"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = totals.select("file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_begin"))
+    placed = (blocks.join(F.broadcast(files), "file")
+              .select((F.col("_begin") + F.col("earlier")).alias("start"), "doc_ids", "lengths", "payload"))
     kind = blocks.schema["doc_ids"].dataType.elementType
-    fields = [StructField("file", IntegerType()), StructField("block", IntegerType()),
-              StructField(doc_id, kind), StructField("_place", LongType()),
+    fields = [StructField(doc_id, kind), StructField("start", LongType()),
               StructField("n_tokens", LongType()), StructField("ids_crc32", LongType())]
     schema = StructType(fields + [StructField("ids", BinaryType())] * with_ids)
 
@@ -104,11 +116,7 @@ def read_ids(spark: SparkSession, path: str, doc_id: str = "doc_id",
             places = np.cumsum(lengths) - lengths
             cut = [ids[a:a + n].tobytes() for a, n in zip(places, lengths, strict=True)]
             yield to_batch({
-                "file": [row["file"]] * len(cut), "block": [row["block"]] * len(cut),
-                doc_id: row["doc_ids"], "_place": places, "n_tokens": lengths,
+                doc_id: row["doc_ids"], "start": places + row["start"], "n_tokens": lengths,
                 "ids_crc32": [zlib.crc32(c) for c in cut], "ids": cut}, schema)
 
-    read = blocks.select("file", "block", "doc_ids", "lengths", "payload").mapInArrow(run, schema)
-    return (read.join(offsets, ["file", "block"])
-            .select(doc_id, (F.col("_start") + F.col("_place")).alias("start"), "n_tokens",
-                    "ids_crc32", *["ids"] * with_ids))
+    return placed.mapInArrow(run, schema)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from riskspark.llm.arrow import parts, rows_of, texts, to_batch
-from riskspark.llm.blocks import Block, split_blocks
+from riskspark.llm.blocks import Block, split_blocks, token_names
 
 #: Pages that training may read at most.
 TRAIN_PAGES = 240
@@ -71,16 +71,29 @@ def features(blocks: list[Block]) -> tuple[list[list[int]], list[list[int]], np.
 
 
 def own_label(block: Block) -> int | None:
-    """1 for article, 0 for other, by the innermost name that says so; None if none does."""
+    """1 for article, 0 for other, by the innermost name that says so; None if none does.
+
+    Only whole names count, not the parts of compound ones. A header inside an article is the
+    article's own.
+    """
     label = None
     for name in block.path:
         if name in OTHER:
-            label = 0
+            label = 1 if name == "header" and label == 1 else 0
         elif name in MAIN and label != 0:
             label = 1
     return label
 
 
+def _class(token: str) -> tuple[str, ...]:
+    return token_names("c", token)
+
+
+# Compound class names that tell of a page's state, not of what stands inside.
+STATES = ("has-sidebar", "no-sidebar", "sidebar-left", "comments-open", "comment-free", "header-fixed",
+          "footer-sticky", "with-ads", "menu-open", "has-banner", "logged-in", "single-post")
+
+
 def layouts(blocks: list[Block], labels: list[int], rng: np.random.Generator,
             how_many: int) -> Iterator[tuple[list[Block], list[int]]]:
     """The article of a page set into other page layouts."""
@@ -102,7 +115,8 @@ def layouts(blocks: list[Block], labels: list[int], rng: np.random.Generator,
         return [Block(some(low, high), (*path, *inner), linked) for _ in range(count)]
 
     for _ in range(how_many):
-        root = ("html", "body", *pick((), ("div",), ("div", "c:page"), ("div", "i:wrapper")))
+        state = _class(pick(*STATES))
+        root = ("html", "body", *pick((), ("div",), ("div", "c:page"), ("div", "i:wrapper"), ("div", *state)))
         out: list[tuple[Block, int]] = []
 
         def add(made: list[Block], chance: float = 1.0, out=out) -> None:
@@ -110,30 +124,31 @@ def layouts(blocks: list[Block], labels: list[int], rng: np.random.Generator,
                 out.extend((b, 0) for b in made)
 
         menu = pick(("nav",), ("header", "nav"), ("div", "c:menu"), ("div", "i:menu"),
-                    ("header", "c:header"), ("ul", "c:navbar"), ("div", "r:navigation"),
-                    ("div", "c:top", "c:bar"))
+                    ("header", "c:header"), ("ul", "c:navbar"), ("nav", *_class("main-nav")), ("div", *_class("site-header")), ("div", "r:navigation"),
+                    ("div", *_class("top-bar")))
         add(group((*root, *menu), pick(("ul", "li", "a"), ("a",), ("ul", "li")),
                   int(rng.integers(3, 9)), 1, 2, 1.0), 0.9)
         add(group((*root, *pick(("header",), ("div", "c:header"), ("div", "c:logo"))),
                   pick((), ("p",), ("span",)), 1, 1, 6, 0.0), 0.4)
-        notice = pick(("div", "c:cookie"), ("div", "c:notice"), ("div", "c:consent"),
+        notice = pick(("div", "c:cookie"), ("div", "c:notice"), ("div", *_class("cookie-notice")), ("div", "c:consent"),
                       ("aside", "c:banner"), ("div", "c:popup"), ("div", "r:dialog"),
                       ("div", "c:alert"), ("div", "c:gdpr"))
         add(group((*root, *notice), pick((), ("p",)), 1, 5, 25, 0.0), 0.4)
         advert = pick(("div", "c:ad"), ("div", "c:ads"), ("div", "c:advert"), ("aside",),
-                      ("div", "c:sponsored"), ("div", "c:promo"), ("ins", "c:adsbygoogle"))
+                      ("div", "c:sponsored"), ("div", "c:promo"), ("div", *_class("ad-slot")), ("ins", "c:adsbygoogle"))
         ad = group((*root, *advert), pick((), ("p",), ("a",)), int(rng.integers(1, 3)), 3, 20,
                    float(rng.random() < 0.4))
         add([*[Block(b.text, (*root, *advert), b.linked) for b in other[-2:-1]], *ad], 0.6)
         side = pick(("aside",), ("div", "c:sidebar"), ("div", "i:sidebar"), ("section", "c:related"),
-                    ("div", "c:widget"), ("div", "r:complementary"))
+                    ("div", "c:widget"), ("div", "r:complementary"), ("div", *_class("sidebar-widget")))
         sidebar = group((*root, *side), pick(("ul", "li", "a"), ("p",), ("h", ), ("div",)),
                         int(rng.integers(2, 7)), 2, 15, float(rng.random() < 0.6))
         first = rng.random() < 0.3
         add(sidebar, 0.6 * first)
         body = pick(("article",), ("main",), ("main", "article"), ("div", "c:content"),
-                    ("div", "c:post"), ("div", "i:content"), ("div", "c:entry", "c:content"),
-                    ("section", "c:article", "c:body"), ("div", "i:main"), ("div", "c:story"),
+                    ("div", "c:post"), ("div", "i:content"), ("div", *_class("entry-content")), ("div", *_class("post-content")),
+                    ("article", *state), ("main", *state), ("article", "c:post", *state),
+                    ("section", *_class("article-body")), ("div", "i:main"), ("div", "c:story"),
                     ("div",), ("div", "r:main"), ("td",))
         mids = group((*root, *body, *pick(advert, ("div", "c:share"), ("form",), ("figure", "aside"))),
                      pick((), ("p",)), 1, 2, 12, float(rng.random() < 0.5))
@@ -150,13 +165,13 @@ def layouts(blocks: list[Block], labels: list[int], rng: np.random.Generator,
         add(group((*root, *form), pick(("label",), ("p",), ("div",)), int(rng.integers(1, 4)), 1, 8,
                   0.0), 0.4)
         said = pick(("div", "c:comments"), ("section", "i:comments"), ("div", "c:comment"),
-                    ("ol", "c:comment", "c:list"), ("div", "i:disqus"), ("section", "c:replies"))
+                    ("ol", *_class("comment-list")), ("div", "i:disqus"), ("section", "c:replies"))
         inside = rng.random() < 0.3
         add(group((*root, *(body if inside else ()), *said),
                   pick(("div", "c:comment", "p"), ("li", "p"), ("p",), ("article", "p")),
                   int(rng.integers(1, 7)), 3, 40, 0.0), 0.5)
         add(sidebar, 0.6 * (not first))
-        foot = pick(("footer",), ("div", "c:footer"), ("div", "i:footer"), ("div", "c:copyright"),
+        foot = pick(("footer",), ("div", "c:footer"), ("div", "i:footer"), ("div", *_class("site-footer")), ("div", "c:copyright"),
                     ("div", "r:contentinfo"))
         last = other[-1:] if rng.random() < 0.6 else []
         add([*[Block(b.text, (*root, *foot), b.linked) for b in last],
@@ -334,8 +349,8 @@ def train_labeller(pages: DataFrame, page_id: str = "page_id", column: str = "ht
     rows = (pages.where(F.col(column).isNotNull())
             .select(turn.alias("turn"), F.col(page_id).cast("string").alias("id"),
                     F.col(column).alias("html"))
-            .where(F.col("turn") < int(share * (1 << 30))).limit(2 * train_pages).collect())
-    rows = sorted(rows, key=lambda r: (r.turn, r.id or "", r.html))[:train_pages]
+            .where(F.col("turn") < int(share * (1 << 30)))
+            .orderBy("turn", "id", "html").limit(train_pages).collect())
     rng = np.random.default_rng(seed)
     examples, targets = [], []
     for row in rows:

@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StructField, StructType)
 
-from riskspark.llm.arrow import parts, texts, to_batch, with_fields
+from riskspark.llm.arrow import free_name, parts, to_batch, with_fields
 from riskspark.llm.slots import gapless_slots
-from riskspark.llm.tokens import encoder
+from riskspark.llm.tokens import ENCODE_BYTES, ENCODE_ROWS, encoder
 from riskspark.session import shared_dir
 
 CAPACITY = 1024
@@ -113,15 +113,16 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY,
             raise ValueError(f"a piece of {row[0]} tokens does not fit {capacity}")
         counts[row[0]] = row.n
     places = _places(plan_bins(counts, capacity), capacity)
+    number = free_name(pieces, "_number")
     ranked = gapless_slots(pieces, [length], F.xxhash64(*order).bitwiseAND(F.lit(0x7FFFFFFF)),
-                           order, int(counts.sum()), "_number")
+                           order, int(counts.sum()), number)
     schema = with_fields(pieces.schema, ("sequence_id", LongType()), ("offset", LongType()))
     plain = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = batch.column(length).to_numpy()
-            numbers = batch.column("_number").to_numpy()
+            numbers = batch.column(number).to_numpy()
             ids, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
             for one in np.unique(lengths):
                 mine = np.flatnonzero(lengths == one)
@@ -132,7 +133,7 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY,
             yield to_batch({c: batch.column(c) for c in plain}
                            | {"sequence_id": ids, "offset": offsets}, schema)
 
-    return ranked.select(*plain, "_number").mapInArrow(place, schema)
+    return ranked.select(*plain, number).mapInArrow(place, schema)
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -149,10 +150,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in parts(batches):
+        for batch in parts(batches, ENCODE_ROWS, ENCODE_BYTES):
             owner, rows, cuts = [], [], []
-            for i, ids in enumerate(encode.encode(texts(batch))):
-                ids = np.append(np.frombuffer(ids, encode.type).astype("<u4"), np.uint32(end_id))
+            every, ends = encode.encode_ragged(batch.column(1))
+            every = every.astype("<u4")
+            for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                ids = np.append(every[a:b], np.uint32(end_id))
                 first = len(ids) % capacity or capacity
                 starts = [0, *range(first, len(ids), capacity)]
                 for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):

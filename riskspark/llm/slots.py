@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.llm.arrow import free_name
+
 #: Rows that one sort of a hot group should hold on average.
 ROWS_PER_BUCKET = 20_000
 LEAST_BUCKETS = 64
@@ -24,14 +26,15 @@ def gapless_slots(df: DataFrame, groups: list[str], spread: Column, order: list[
     number, and only single buckets are sorted. The order is by bucket, then ``order``. Groups
     must not be null. Rows equal in all of ``order`` get different numbers in any order.
     """
-    keyed = df.withColumn("_bucket", spread % F.lit(bucket_count(rows)))
-    keys = [*groups, "_bucket"]
-    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(
+    bucket, place, begin, count = (free_name(df, n) for n in ("_bucket", "_place", "_start", "_rows"))
+    keyed = df.withColumn(bucket, spread % F.lit(bucket_count(rows)))
+    keys = [*groups, bucket]
+    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(
         Window.unboundedPreceding, -1)
-    starts = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-              .select(*keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")))
+    starts = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+              .select(*keys, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(begin)))
     inside = Window.partitionBy(*keys).orderBy(*order)
-    return (keyed.withColumn("_place", F.row_number().over(inside) - 1)
+    return (keyed.withColumn(place, F.row_number().over(inside) - 1)
             .join(starts, keys)
-            .withColumn(name, (F.col("_start") + F.col("_place")).cast("bigint"))
-            .drop("_bucket", "_place", "_start"))
+            .withColumn(name, (F.col(begin) + F.col(place)).cast("bigint"))
+            .drop(bucket, place, begin))

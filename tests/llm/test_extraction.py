@@ -119,3 +119,54 @@ def test_features_of_deep_paths():
     inner = '<div class="col-md-8 col-sm-12">' * 8 + "<p>Words.</p>" + "</div>" * 8
     paths = [features(split_blocks(f"<{tag}>{inner}</{tag}>"))[0][0] for tag in ("article", "footer")]
     assert len(paths[0]) > 24 and paths[0][0] != paths[1][0] and paths[0][1:] == paths[1][1:]
+
+
+STORY = "".join(f"<p>Sentence number {i} of the story goes on for a while, and then it ends.</p>" for i in range(5))
+LINES = [f"Sentence number {i} of the story goes on for a while, and then it ends." for i in range(5)]
+
+
+@pytest.mark.parametrize("body, inner", [
+    ('<body class="single has-sidebar">', "<article>"), ('<body class="logged-in header-fixed">', "<article>"),
+    ("<body>", '<article class="post comments-open">'), ("<body>", '<article class="comment-free">'),
+    ("<body>", '<main class="no-sidebar">'), ('<body><div class="layout with-ads">', '<article class="post">')])
+def test_names_of_a_page_state_lose_no_text(spark, model, body, inner):
+    page = (f'<html class="js no-menu">{body}<header><nav><a href="/">Home</a> <a href="/a">About</a></nav></header>{inner}'
+            f'<h1>A story</h1>{STORY}</{inner[1:].split()[0].rstrip(">")}><aside class="sidebar"><a href="/x">Read this</a></aside>'
+            '<footer>Somebody, some rights</footer></body></html>')
+    df = spark.createDataFrame([(1, "u", page)], "page_id bigint, url string, html string")
+    assert extract(df, model).first().text.split("\n") == ["A story", *LINES]
+
+
+def test_a_title_in_the_articles_own_header(spark, model):
+    page = ('<html><body><header><nav><a href="/">Home</a></nav></header><article><header><h1>A story</h1></header>'
+            f'{STORY}</article><footer>Somebody</footer></body></html>')
+    df = spark.createDataFrame([(1, "u", page)], "page_id bigint, url string, html string")
+    assert extract(df, model).first().text.split("\n")[-5:] == LINES
+    from riskspark.llm.labeller import own_label
+    assert [own_label(b) for b in split_blocks(page)] == [0, *[1] * 6, 0]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>See <a href=/it's>this</a> and more.</p><p>End</p>", ["See this and more.", "End"]),
+    ('<p>A <img alt="6" pipe"> wide</p><p>b</p>', ["A wide", "b"]),
+    ('<p>A <a href="x>b</a> c</p><p>d</p>', ["A b c", "d"]),
+    ("<p>A <a title='x>b</a> c</p><p>d</p>", ["A b c", "d"]),
+    ("<p>A <a title=x'>b</a> c</p><p>it's</p>", ["A b c", "it's"]),
+    ('<p>A <a title="1 > 0">b</a></p>', ["A b"]), ('<p class="a"id="b">c</p>', ["c"]),
+    ("<p>1 < 2 and <3</p>", ["1 < 2 and <3"]), ("<p>a</ p>b<!x>c<?y>d</p>", ["abcd"]),
+    ("<p =x>a</p><p x=>b</p><p/ y>c</p>", ["a", "b", "c"]), ("<p>a<!-->b<!--->c<!-- d -->e", ["abce"]),
+    ("<script src=it's>x</script><p>a</p>", ["a"]), ("<title>x</titles></title><p>a", ["a"]),
+    ('<p>a <a title="b', ['a <a title="b'])])
+def test_tags_as_the_standard_reads_them(page, want):
+    assert [b.text for b in split_blocks(page)] == want
+
+
+@pytest.mark.parametrize("piece", ['<a title="', "<a title='", "<div>x", "</p>", "<!x", "<p", "<script>", "<!--", "</",
+                                   '<a b="c" ', "<svg>", "<ul><li>", "<b>", "</x y='"])
+def test_broken_pages_take_linear_time(piece):
+    import time
+
+    started = time.process_time()
+    split_blocks("<div>" * 20_000 + "x" + "</p>" * 20_000)
+    split_blocks(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - started < 20
