@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskspark.llm.arrow import parts, rows_of, same, texts, to_batch, with_fields
+from riskspark.llm.arrow import free_name, parts, rows_of, texts, to_batch, with_fields
 from riskspark.llm.cuckoo import CuckooFilter, buckets_for
 from riskspark.session import shared_dir, work_path
 
@@ -185,9 +185,55 @@ class LineIndex:
     def remove(self, docs: DataFrame) -> None:
         self.change(docs, -1)
 
+    def clean(self, docs: DataFrame) -> DataFrame:
+        """``docs`` without the lines whose keys are active now; as ``drop_lines`` returns them.
 
-def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
-               doc_id: str = "doc_id") -> DataFrame:
+        The documents need not be among those added. Each distinct key is looked up once, so a
+        frequent line is no group; a text then joins the active ones of its keys.
+        """
+        tag = free_name(docs, "_tag")
+        tagged = docs.withColumn(tag, _tag())
+        pairs = line_pairs(tagged, tag, self.min_chars).distinct()
+        asked = pairs.groupBy("k1", "k2").agg(F.lit(0).alias("_of")).select("_of", "k1", "k2")
+        active = active_pairs(asked, self.filters, self.shards).select("k1", "k2")
+        return _without(tagged, tag, pairs.join(active, ["k1", "k2"]), set(), self.min_chars)
+
+
+def _tag():
+    """Tells texts apart. Where two texts should ever share one, each gets the other's active
+    keys as well, which drop no line that is not to be dropped anyway."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _without(tagged: DataFrame, tag: str, found: DataFrame, hot_bytes: set[bytes],
+             min_chars: int) -> DataFrame:
+    """The documents without the lines of the found keys (tag, k1, k2) and of the hot ones."""
+    keys, own = free_name(tagged, "_keys"), free_name(tagged, "_text_tag")
+    by_text = (found.groupBy(F.col(tag).alias(own))
+               .agg(F.collect_set(F.struct("k1", "k2")).alias(keys)))
+    joined = tagged.join(by_text, F.col(tag) == F.col(own), "left")
+    plain = [c for c in tagged.columns if c not in ("n_lines", "n_dropped", tag)]
+    schema = with_fields(tagged.drop(tag).schema, ("n_lines", LongType()), ("n_dropped", LongType()))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            kept, before, lost = [], [], []
+            for text, mine in zip(texts(batch), batch.column(keys).to_pylist(), strict=True):
+                gone = hot_bytes.union(np.array([k["k1"], k["k2"]], "<i8").tobytes()
+                                       for k in mine) if mine else hot_bytes
+                lines = text.encode().split(b"\n")
+                left = ([x for x in lines if line_digest(x, min_chars) not in gone]
+                        if gone else lines)
+                kept.append(b"\n".join(left).decode())
+                before.append(len(lines))
+                lost.append(len(lines) - len(left))
+            columns = {c: batch.column(c) for c in plain}
+            yield to_batch(columns | {"text": kept, "n_lines": before, "n_dropped": lost}, schema)
+
+    return joined.select(*plain, keys).mapInArrow(clean, schema)
+
+
+def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Take every line whose key is in ``min_docs`` documents or more out of all documents.
 
     Returns the columns of ``docs`` with the new text, then ``n_lines`` (before) and
@@ -200,7 +246,9 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     """
     spark = docs.sparkSession
     shared_dir(spark)
-    pairs = line_pairs(docs, doc_id, min_chars).checkpoint()
+    tag = free_name(docs, "_tag")
+    tagged = docs.withColumn(tag, _tag())
+    pairs = line_pairs(tagged, tag, min_chars).checkpoint()
     counts = key_counts(pairs)
     total = rows_of(pairs)
     shards = LEAST_SHARDS + total // PAIRS_PER_SHARD
@@ -211,28 +259,7 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     rare = pairs.where(~_is_hot(hot)) if hot else pairs
     found = active_pairs(rare, build_filters(active.where(F.col("docs") < hot_floor), shards,
                                              min_docs), shards)
-    by_doc = (found.groupBy(doc_id).agg(F.collect_list(F.struct("k1", "k2")).alias("_keys"))
-              .withColumnRenamed(doc_id, "_of"))
-    joined = docs.join(by_doc, same(docs[doc_id], by_doc["_of"]), "left").drop("_of")
-    schema = with_fields(docs.schema, ("n_lines", LongType()), ("n_dropped", LongType()))
-    plain = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
-            kept, before, lost = [], [], []
-            for text, keys in zip(texts(batch), batch.column("_keys").to_pylist(), strict=True):
-                gone = hot_bytes.union(np.array([k["k1"], k["k2"]], "<i8").tobytes()
-                                       for k in keys) if keys else hot_bytes
-                lines = text.encode().split(b"\n")
-                left = ([x for x in lines if line_digest(x, min_chars) not in gone]
-                        if gone else lines)
-                kept.append(b"\n".join(left).decode())
-                before.append(len(lines))
-                lost.append(len(lines) - len(left))
-            columns = {c: batch.column(c) for c in plain}
-            yield to_batch(columns | {"text": kept, "n_lines": before, "n_dropped": lost}, schema)
-
-    return joined.select(*plain, "_keys").mapInArrow(clean, schema)
+    return _without(tagged, tag, found, hot_bytes, min_chars)
 
 
 def _is_hot(hot: set[tuple[int, int]]):

@@ -94,3 +94,49 @@ def test_cuckoo_filter():
     assert (made.table > 0).sum() == 20_000
     made.delete(k1[30_000:], k2[30_000:])
     assert not made.table.any()
+
+
+def test_names_of_its_own_in_the_table(make_docs):
+    docs = make_docs(["a\nb", "a\nc", "a"], _keys=1, _of=2, _tag="t", _text_tag=3, k1=4, k2=5, shard=6)
+    got = drop_lines(docs, 3).collect()
+    assert sorted(r.text for r in got) == ["", "b", "c"]
+    assert all((r._keys, r._of, r._tag, r._text_tag, r.k1, r.shard) == (1, 2, "t", 3, 4, 6) for r in got)
+
+
+def test_a_third_of_the_rows_share_an_id(make_docs):
+    rows = [(None if i % 3 == 0 else i, "\n".join([f"own {i}", *(f"line {(i + k) % 40}" for k in range(9))]))
+            for i in range(1500)]
+    got = drop_lines(make_docs(rows, parts=6)).collect()
+    assert sorted(r.text for r in got) == sorted(f"own {i}" for i in range(1500))
+    assert sum(r.doc_id is None for r in got) == 500
+
+
+def test_index_cleans_by_what_is_added_now(spark, make_docs):
+    first = [(i, f"a\nb {i % 3}\nc\nown {i}") for i in range(12)]
+    second = [(100 + i, f"c\nb {i % 3}\nnew {i % 2}") for i in range(12)]
+    asked = first[:4] + second[:4] + [(None, "A \nzzz\nnew 1"), (7, None), (7, ""), (8, "own 3\nown 3")]
+    index = LineIndex(spark, 4, min_docs=6)
+
+    def check(added):
+        counts = {}
+        for _, text in added:
+            for key in set(text.split("\n")):
+                counts[key] = counts.get(key, 0) + 1
+        want = []
+        for i, text in asked:
+            lines = (text or "").split("\n")
+            kept = [x for x in lines if counts.get(x.strip().lower(), 0) < 6]
+            want.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
+        got = index.clean(make_docs(asked, _tag=1, k1=2)).collect()
+        assert sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got), key=str) == sorted(want, key=str)
+        return want
+
+    states = [check([])]
+    index.add(make_docs(first))
+    states.append(check(first))
+    index.add(make_docs(second))
+    states.append(check(first + second))
+    index.remove(make_docs(first))
+    states.append(check(second))
+    assert len(set(map(str, states))) == 4
+    assert index.clean(make_docs([]).where("false")).count() == 0
