@@ -51,8 +51,10 @@ def _folded(spark, sf_dir, spec):
 
 
 def _vectors(spark, sf_dir, spec):
+    # The table is one row group: its rows are dealt out once, for all fits.
     return (assemble(_folded(spark, sf_dir, spec), spec.features)
-            .select("features", spec.target, "fold").persist(StorageLevel.MEMORY_AND_DISK))
+            .select("features", spec.target, "fold").repartition(spark.sparkContext.defaultParallelism)
+            .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def linear_search_17_features(spark, sf_dir):
@@ -85,7 +87,8 @@ FITTED = {}
 def fit_boosted_trees(spark, sf_dir):
     """Fit 20 boosted trees of depth 3 on four features."""
     FITTED["trees"] = models.fit_model(fx(spark, sf_dir), FX, "GradientBoostingRegressor",
-                                       {"maxIter": 20, "maxDepth": 3})
+                                       {"maxIter": 20, "maxDepth": 3},
+                                       partitions=spark.sparkContext.defaultParallelism)
 
 
 def score_boosted_trees(spark, sf_dir):

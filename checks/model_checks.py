@@ -316,3 +316,167 @@ def score_with_trees(spark, sf_dir):
                              {"maxDepth": 1, "maxIter": 2})
     out = score_table(fx(spark, sf_dir), model, spec)
     return out.select("id", F.round("prediction", 8).alias("prediction"))
+
+
+# ---- whole trees: every split of every level, searched in SQL ---------------------------------
+
+DEEP = replace(FX, features=("l_quantity", "l_discount", "l_tax"))
+BINS = {"maxBins": 64}  # more than distinct values, so every value is a candidate
+
+
+def grown_sql(source: str, target: str, name: str, depth: int) -> str:
+    """A regression tree over ``DEEP``: level by level the best split by variance of each node.
+
+    Makes ``{name}`` (all columns of ``source``, its leaf and ``{name}_p``) and ``{name}_g`` (node,
+    feature, gained: variance times rows that the split takes away). Training rows decide.
+    """
+    steps = [f"{name}_0 AS (SELECT *, 1 AS {name}_n FROM {source})"]
+    for level in range(depth):
+        at = f"{name}_{level}"
+        values = " UNION ALL ".join(
+            f"SELECT {name}_n AS node, {pos} AS pos, '{f}' AS feature, CAST({f} AS DOUBLE) AS v, count(*) AS n, "
+            f"sum({target}) AS s FROM {at} WHERE split = 'train' GROUP BY ALL" for pos, f in enumerate(DEEP.features))
+        steps += [
+            f"{at}_v AS ({values})",
+            f"""{at}_c AS (SELECT *, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER k AS nt, sum(s) OVER k AS st
+  FROM {at}_v WINDOW w AS (PARTITION BY node, feature ORDER BY v), k AS (PARTITION BY node, feature))""",
+            f"""{at}_b AS (SELECT node, feature, v, sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt AS gained
+  FROM {at}_c WHERE nl < nt QUALIFY row_number() OVER (PARTITION BY node ORDER BY gained DESC, pos, v) = 1)""",
+            f"""{name}_{level + 1} AS (SELECT {at}.* REPLACE (CASE WHEN feature IS NULL THEN {name}_n
+  WHEN CASE feature {' '.join(f"WHEN '{f}' THEN {f}" for f in DEEP.features)} END <= v THEN 2 * {name}_n
+  ELSE 2 * {name}_n + 1 END AS {name}_n) FROM {at} LEFT JOIN {at}_b ON node = {name}_n)"""]
+    last = f"{name}_{depth}"
+    steps += [f"{name}_l AS (SELECT {name}_n AS leaf, avg({target}) AS {name}_p FROM {last} WHERE split = 'train' GROUP BY 1)",
+              f"{name} AS (SELECT {last}.*, {name}_p FROM {last} JOIN {name}_l ON leaf = {name}_n)",
+              f"{name}_g AS (" + " UNION ALL ".join(f"SELECT * FROM {name}_{i}_b" for i in range(depth)) + ")"]
+    return ",\n".join(steps)
+
+
+DEEP_SQL = f"{FX_SQL}, sp AS (SELECT *, {SPLIT_SQL} AS split FROM fx)"
+TREE_SQL = f"WITH {DEEP_SQL},\n{grown_sql('sp', 'y', 't', 3)}"
+
+
+def _deep_model(spark, sf_dir, name, params):
+    df = hash_split(fx(spark, sf_dir), "id", DEEP)
+    return df, models.fit_model(df.where("split = 'train'"), DEEP, name, {**BINS, **params}, scaled=False)
+
+
+def _deep_rows(spark, sf_dir, name, params):
+    df, model = _deep_model(spark, sf_dir, name, params)
+    return model.transform(df).select("id", F.round("prediction", 9).alias("prediction"))
+
+
+_TREE_ROWS = f"{TREE_SQL} SELECT id, round(t_p, 9) AS prediction FROM t"
+
+
+@check(_TREE_ROWS)
+def decision_tree_depth_three(spark, sf_dir):
+    """A tree of three levels, row by row."""
+    return _deep_rows(spark, sf_dir, "DecisionTreeRegressor", {"maxDepth": 3})
+
+
+@check(_TREE_ROWS)
+def random_forest_whole_rows(spark, sf_dir):
+    """A forest of four trees that all see all rows and features: each is the tree."""
+    return _deep_rows(spark, sf_dir, "RandomForestRegressor",
+                      {"maxDepth": 3, "numTrees": 4, "bootstrap": False, "featureSubsetStrategy": "all"})
+
+
+@check(f"""{TREE_SQL},
+r1 AS (SELECT * EXCLUDE (t_p), t_p AS f1, 2 * (y - t_p) AS residual1 FROM t),
+{grown_sql('r1', 'residual1', 'u', 3)},
+r2 AS (SELECT *, f1 + 0.1 * u_p AS f2, 2 * (y - f1 - 0.1 * u_p) AS residual2 FROM u),
+{grown_sql('r2', 'residual2', 'w', 3)}
+SELECT id, round(f2 + 0.1 * w_p, 9) AS prediction FROM w""")
+def boosted_three_rounds(spark, sf_dir):
+    """Three rounds of trees of three levels, each on what the former left, row by row."""
+    return _deep_rows(spark, sf_dir, "GradientBoostingRegressor", {"maxDepth": 3, "maxIter": 3, "stepSize": 0.1})
+
+
+@check(f"""WITH {DEEP_SQL} SELECT id, 7 AS n_trees, true AS is_the_mean, true AS within FROM sp""")
+def random_forest_bagged(spark, sf_dir):
+    """A forest with bootstrap: each row's prediction is the mean of the forest's own trees.
+
+    The trees are read from the model and scored as expressions; the mean lies within what
+    the training rows hold.
+    """
+    df, model = _deep_model(spark, sf_dir, "RandomForestRegressor",
+                            {"maxDepth": 4, "numTrees": 7, "featureSubsetStrategy": "onethird"})
+    nodes = models.node_table(spark, model, DEEP.features).collect()
+    if len({str(sorted((r.node, r.prediction) for r in nodes if r.tree == t)) for t in range(7)}) != 7:
+        raise ValueError("bags must differ")
+    low, high = df.where("split = 'train'").agg(F.min("y"), F.max("y")).first()
+    return model.transform(df.withColumn("mean", models.tree_score(nodes))).select(
+        "id", F.lit(len({r.tree for r in nodes})).alias("n_trees"),
+        (F.abs(F.col("prediction") - F.col("mean")) < 1e-12).alias("is_the_mean"),
+        F.col("prediction").between(low, high).alias("within"))
+
+
+_GAINS = """, every AS (SELECT unnest(['l_quantity', 'l_discount', 'l_tax']) AS feature, unnest(range(3)) AS pos)
+SELECT CAST(pos AS INTEGER) AS pos, feature, round(coalesce(sum(gained), 0) / (SELECT sum(gained) FROM {g}), 9) AS importance
+FROM every LEFT JOIN {g} USING (feature) GROUP BY pos, feature"""
+
+
+def _rounded(importances):
+    return importances.select("pos", "feature", F.round("importance", 9).alias("importance"))
+
+
+@check(TREE_SQL + _GAINS.format(g="t_g"))
+def importances_of_a_deep_tree(spark, sf_dir):
+    _, model = _deep_model(spark, sf_dir, "DecisionTreeRegressor", {"maxDepth": 3})
+    return _rounded(models.importance_table(spark, model, DEEP.features))
+
+
+@check(TREE_SQL + _GAINS.format(g="t_g"))
+def importances_from_nodes(spark, sf_dir):
+    """From the node table of a forest whose trees are all the tree."""
+    _, model = _deep_model(spark, sf_dir, "RandomForestRegressor", {
+        "maxDepth": 3, "numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"})
+    return _rounded(models.gain_importances(models.node_table(spark, model, DEEP.features), DEEP.features))
+
+
+@check(f"""{TREE_SQL}, child AS (SELECT node, feature, v FROM t_g)
+SELECT CAST(node AS BIGINT) AS node, feature, count(*) AS rows, round(avg(y), 9) AS prediction,
+       round(var_pop(y), 9) AS impurity
+FROM (SELECT y, unnest([t_n // 8, t_n // 4, t_n // 2, t_n]) AS node FROM t WHERE split = 'train')
+LEFT JOIN child USING (node) WHERE node > 0 GROUP BY ALL""")
+def tree_nodes(spark, sf_dir):
+    """Every node of a tree: its split, rows, mean and variance."""
+    _, model = _deep_model(spark, sf_dir, "DecisionTreeRegressor", {"maxDepth": 3})
+    nodes = models.node_table(spark, model, DEEP.features)
+    return nodes.select("node", "feature", F.col("rows").cast("bigint").alias("rows"),
+                        F.round("prediction", 9).alias("prediction"), F.round("impurity", 9).alias("impurity"))
+
+
+# ---- the scaler inside the folds ----------------------------------------------------------------
+
+# Without Spark's own standardisation the penalty rests on the scaled values, so the scaler shows.
+UNSCALED = replace(FX1, grids={"LinearRegression": {
+    "regParam": (0.01, 0.1), "elasticNetParam": (0.0, 0.5, 1.0), "standardization": (False,)}})
+OTHERS_SQL = """o AS (SELECT k.fold, corr(y, x) AS r, stddev_pop(x) / stddev_samp(x) AS sx, stddev_pop(y) AS sy,
+    avg(x) AS mx, avg(y) AS my, stddev_samp(x) AS unit
+  FROM tr, (SELECT DISTINCT fold FROM tr) k WHERE tr.fold <> k.fold GROUP BY k.fold)"""
+
+
+@check(f"""WITH {TRAIN_SQL}, {OTHERS_SQL} SELECT fold, round(mx, 6) AS mean, round(unit, 6) AS deviation FROM o""")
+def fold_scalers(spark, sf_dir):
+    """Each fold's scaler knows the other folds only."""
+    found = scaling.fold_scalers(train_rows(spark, sf_dir), FX1.features)
+    rows = [(k, s.means[0], s.stds[0]) for k, s in found.items()]
+    return spark.createDataFrame(rows, "fold int, mean double, deviation double").select(
+        "fold", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
+
+
+@check(f"""WITH {TRAIN_SQL}, {OTHERS_SQL},
+fit AS (SELECT o.*, grid_id, sign(r) * greatest(abs(r) * sx * sy - alpha * reg, 0)
+    / (sx * sx + (1 - alpha) * reg / sy) AS w FROM o, grid),
+errors AS (SELECT fold, grid_id, sqrt(avg((y - (my + w * (x - mx) / unit)) ** 2)) AS rmse
+    FROM tr JOIN fit USING (fold) GROUP BY ALL)
+SELECT grid_id, round(avg(rmse), 7) AS avg_rmse FROM errors GROUP BY grid_id""")
+def search_scaled_by_other_folds(spark, sf_dir):
+    train = train_rows(spark, sf_dir).persist()
+    found = models.grid_search(train, "LinearRegression", UNSCALED,
+                               scalers=scaling.fold_scalers(train, UNSCALED.features))
+    train.unpersist()
+    return spark.createDataFrame(list(enumerate(found.avg_rmse)), "grid_id int, avg_rmse double").select(
+        "grid_id", F.round("avg_rmse", 7).alias("avg_rmse"))

@@ -99,16 +99,20 @@ def feature_array(features: Sequence[str]) -> Column:
 
 
 def row_mean(features: Sequence[str]) -> Column:
-    values = feature_array(features)
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x) / F.size(values)
+    total = F.lit(0.0)
+    for f in features:
+        total = total + F.col(f).cast("double")
+    return total / F.lit(len(features))
 
 
 def row_max(features: Sequence[str]) -> Column:
-    return F.array_max(feature_array(features))
+    values = [F.col(f).cast("double") for f in features]
+    return F.greatest(*values) if len(values) > 1 else values[0]
 
 
 def row_min(features: Sequence[str]) -> Column:
-    return F.array_min(feature_array(features))
+    values = [F.col(f).cast("double") for f in features]
+    return F.least(*values) if len(values) > 1 else values[0]
 
 
 def _name_at(features: Sequence[str], value: Column) -> Column:
@@ -130,13 +134,13 @@ def arg_min(features: Sequence[str]) -> Column:
 def top_factors(features: Sequence[str], k: int = 5) -> Column:
     """The ``k`` largest features, best first, ties in feature order.
 
-    Array of ``struct(rank_value, pos, feature, value)``, sorted inside the row.
+    Array of ``struct(rank_value, pos, feature, value)``, sorted inside the row in generated code.
     """
     entries = F.array(*[
         F.struct((-F.col(f).cast("double")).alias("rank_value"), F.lit(i).alias("pos"),
                  F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
         for i, f in enumerate(features)])
-    return F.slice(F.array_sort(entries), 1, k)
+    return F.slice(F.sort_array(entries), 1, k)
 
 
 def reuse_key(features: Sequence[str], prefix: str = "predict:") -> Column:

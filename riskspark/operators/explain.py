@@ -40,12 +40,17 @@ def with_metadata(long: DataFrame, spec: JobSpec) -> DataFrame:
 def top_factors(df: DataFrame, ids: Sequence[str], spec: JobSpec, k: int = 5) -> DataFrame:
     """The ``k`` strongest features per row as rows ``(ids, rank, feature, value, bar, icon, grp)``.
 
-    Ranking happens inside the row, so nothing is shuffled.
+    Ranking happens inside the row, so nothing is shuffled, and a feature's icon and group are
+    literals looked up by its place, so nothing is joined.
     """
+    known = {name: (icon, grp) for name, icon, grp, *_ in spec.catalogue}
+    icons = F.array(*[F.lit(known.get(f, (DEFAULT_ICON, None))[0]) for f in spec.features])
+    groups = F.array(*[F.lit(known.get(f, (DEFAULT_ICON, None))[1]).cast("string") for f in spec.features])
     ranked = df.select(*ids, F.posexplode(C.top_factors(spec.features, k)).alias("i", "f"))
-    rows = ranked.select(*ids, (F.col("i") + 1).alias("rank"), "f.feature", "f.value",
-                         C.factor_bar("f.value").alias("bar"))
-    return with_metadata(rows, spec)
+    place = F.col("f.pos") + 1
+    return ranked.select(*ids, (F.col("i") + 1).alias("rank"), "f.feature", "f.value",
+                         C.factor_bar("f.value").alias("bar"),
+                         F.element_at(icons, place).alias("icon"), F.element_at(groups, place).alias("grp"))
 
 
 def group_features(df: DataFrame, ids: Sequence[str], spec: JobSpec, group: str) -> DataFrame:

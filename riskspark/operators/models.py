@@ -11,11 +11,12 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.evaluate import metric
-from riskspark.operators.scaling import scaler_stages
+from riskspark.operators.prepare import assemble
+from riskspark.operators.scaling import Scaler, apply_scaler, scaler_stages
 from riskspark.spec import PRESETS, JobSpec
 
 ESTIMATORS = {
@@ -61,10 +62,13 @@ def regression_stages(spec: JobSpec, name: str, params: dict | None = None,
 
 
 def fit_model(train: DataFrame, spec: JobSpec, name: str = "LinearRegression",
-              params: dict | None = None, scaled: bool = True) -> PipelineModel:
+              params: dict | None = None, scaled: bool = True,
+              partitions: int | None = None) -> PipelineModel:
     """Fit scaler and regressor. Both read the rows more than once, so the needed columns
-    are kept (spilling to disk) while fitting."""
-    rows = train.select(*spec.kept).persist(StorageLevel.MEMORY_AND_DISK)
+    are kept (spilling to disk) while fitting. ``partitions`` deals the rows out first, for
+    sources that come in fewer parts than there are cores."""
+    rows = train.select(*spec.kept)
+    rows = (rows.repartition(partitions) if partitions else rows).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=regression_stages(spec, name, params, scaled)).fit(rows)
     finally:
@@ -95,22 +99,28 @@ class SearchResult:
 
 
 def grid_search(train: DataFrame, name: str, spec: JobSpec, fold: str = "fold",
-                parallelism: int = 4) -> SearchResult:
+                parallelism: int = 4, scalers: dict[int, Scaler] | None = None) -> SearchResult:
     """k-fold search over a model's grid on rows with ``features``, target and ``fold``.
 
+    With ``scalers`` (see ``fold_scalers``) the rows hold raw feature columns instead, and each
+    fold's fits and scores see them standardised by the other folds' rows only.
+
     Fits run as concurrent Spark jobs. All grid points of a fold are scored together, so
     a fold is scanned once for its scores and not once per point. Persist ``train`` first.
     """
     spark = train.sparkSession
     points = spec.grid_points(name)
 
+    def prepared(rows, k):
+        return rows if scalers is None else assemble(apply_scaler(rows, scalers[k]), spec.features)
+
     def fit(task):
         k, i = task
-        rows = train.where(F.col(fold) != k)
+        rows = prepared(train.where(F.col(fold) != k), k)
         return make_estimator(name, spec, points[i]).fit(rows).setPredictionCol(f"p{i}")
 
     def score(k):
-        scored = train.where(F.col(fold) == k)
+        scored = prepared(train.where(F.col(fold) == k), k)
         for model in models[k]:
             scored = model.transform(scored)
         row = scored.agg(*[metric("rmse", spec.target, f"p{i}").alias(f"p{i}")
@@ -189,6 +199,82 @@ def importance_table(spark: SparkSession, model: PipelineModel,
     return spark.createDataFrame(rows, "pos int, feature string, importance double")
 
 
+NODES = ("tree int, node long, feature string, threshold double, prediction double, "
+         "impurity double, gain double, rows double, below long, above long, weight double")
+
+
+def node_table(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """Every node of a tree, forest or boosted model as a row.
+
+    Nodes are numbered 1, 2 n and 2 n + 1. An inner node has a feature and a threshold: rows up
+    to the threshold go ``below``, others ``above``. ``rows`` counts the (weighted) training rows
+    of the node, ``weight`` is the tree's share in the prediction.
+    """
+    kind, stage = predictive_stage(model)
+    if kind != "tree":
+        raise ValueError("the model has no tree stage")
+    trees = list(getattr(stage, "trees", [stage]))
+    weights = [float(w) for w in getattr(stage, "treeWeights", [1.0])]
+    if type(stage).__name__.startswith("RandomForest"):
+        weights = [w / sum(weights) for w in weights]
+    rows = []
+    for i, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+        waiting = [(1, tree._java_obj.rootNode())]
+        while waiting:  # a tree of bounded depth
+            number, node = waiting.pop()
+            inner = node.subtreeDepth() > 0
+            feature = threshold = gain = below = above = None
+            if inner:
+                split = node.split()
+                if "Continuous" not in split.getClass().getName():
+                    raise ValueError("a split of a categorical feature has no threshold")
+                feature, threshold = features[split.featureIndex()], float(split.threshold())
+                gain, below, above = float(node.gain()), 2 * number, 2 * number + 1
+                waiting += [(below, node.leftChild()), (above, node.rightChild())]
+            rows.append((i, number, feature, threshold, float(node.prediction()), float(node.impurity()),
+                         gain, float(node.impurityStats().count()), below, above, weight))
+    return spark.createDataFrame(rows, NODES)
+
+
+def tree_score(nodes: Sequence) -> Column:
+    """The prediction of a node table's rows as one expression over the raw feature columns.
+
+    It stays inside generated code: no vector is assembled and no model is shipped.
+    """
+    trees: dict[int, dict] = {}
+    for row in nodes:
+        trees.setdefault(row["tree"], {})[row["node"]] = row
+
+    def under(tree: dict, number: int) -> Column:
+        row = tree[number]
+        if row["feature"] is None:
+            return F.lit(row["prediction"])
+        return (F.when(F.col(row["feature"]) <= row["threshold"], under(tree, row["below"]))
+                .otherwise(under(tree, row["above"])))
+
+    total = F.lit(0.0)
+    for tree in trees.values():
+        total = total + F.lit(tree[1]["weight"]) * under(tree, 1)
+    return total
+
+
+def gain_importances(nodes: DataFrame, features: Sequence[str], per_tree: bool = True) -> DataFrame:
+    """Rows ``(pos, feature, importance)`` from the gains in a node table.
+
+    A split counts by its gain times its rows. Each tree's sums are brought to 1 first
+    (``per_tree``, as for forests; boosted models add up as they are), then the whole to 1.
+    """
+    split = nodes.where("feature is not null").groupBy("tree", "feature").agg(
+        F.sum(F.col("gain") * F.col("rows")).alias("gained"))
+    if per_tree:
+        split = split.withColumn("gained", F.col("gained") / F.sum("gained").over(Window.partitionBy("tree")))
+    summed = split.groupBy("feature").agg(F.sum("gained").alias("gained"))
+    every = nodes.sparkSession.createDataFrame(list(enumerate(features)), "pos int, feature string")
+    share = F.coalesce("gained", F.lit(0.0))
+    return (every.join(F.broadcast(summed), "feature", "left")
+            .select("pos", "feature", (share / F.sum(share).over(Window.partitionBy())).alias("importance")))
+
+
 def best_params_table(spark: SparkSession, result: SearchResult) -> DataFrame:
     """Chosen hyper-parameters as rows ``(model, name, value)``."""
     rows = [(result.model, k, float(v)) for k, v in result.points[result.best].items()]

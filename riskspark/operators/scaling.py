@@ -32,6 +32,37 @@ def fit_scaler(train: DataFrame, features: Sequence[str]) -> Scaler:
                   tuple(row[f"{f}_std"] or 0.0 for f in features))
 
 
+def fold_scalers(train: DataFrame, features: Sequence[str], fold: str = "fold") -> dict[int, Scaler]:
+    """For each fold the scaler of the other folds' rows, from one pass.
+
+    The pass gives each fold's number, mean and sum of squared deviations of every feature;
+    those of the other folds are merged. A fold whose others hold no row of some feature is an
+    error; a row without a fold belongs to no fold and takes no part.
+    """
+    rows = train.where(F.col(fold).isNotNull()).groupBy(F.col(fold).alias("_fold")).agg(*[
+        F.struct(F.count(f).alias("n"), F.avg(F.col(f).cast("double")).alias("mean"),
+                 F.var_pop(F.col(f).cast("double")).alias("variance")).alias(f"_{i}")
+        for i, f in enumerate(features)]).collect()  # one row a fold
+    scalers = {}
+    for row in rows:
+        means, stds = [], []
+        for i, f in enumerate(features):
+            n, mean, squares = 0, 0.0, 0.0
+            for other in rows:
+                part = other[f"_{i}"]
+                if other["_fold"] == row["_fold"] or not part["n"]:
+                    continue
+                apart, both = part["mean"] - mean, n + part["n"]
+                squares += part["variance"] * part["n"] + apart * apart * n * part["n"] / both
+                mean, n = mean + apart * part["n"] / both, both
+            if not n:
+                raise ValueError(f"no rows of {f} outside fold {row['_fold']}")
+            means.append(mean)
+            stds.append((squares / (n - 1)) ** 0.5 if n > 1 else 0.0)
+        scalers[row["_fold"]] = Scaler(tuple(features), tuple(means), tuple(stds))
+    return scalers
+
+
 def scaled(feature: str, mean, std):
     """(x - mean) / std, and 0 for a feature that does not vary."""
     value = F.col(feature).cast("double")

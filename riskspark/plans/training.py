@@ -13,6 +13,7 @@ from riskspark.operators.evaluate import (SCORE_NAMES, champion, diagnose, evalu
                                           score_table)
 from riskspark.operators.models import SearchResult, grid_search, make_estimator
 from riskspark.operators.prepare import assemble
+from riskspark.operators.scaling import apply_scaler, fit_scaler, fold_scalers
 from riskspark.plans.preparation import Prepared
 from riskspark.sources import runs as R
 from riskspark.spec import JobSpec
@@ -29,23 +30,36 @@ class Tournament:
     searches: dict[str, SearchResult]
 
 
-def tournament(rows: DataFrame, spec: JobSpec, parallelism: int = 4) -> Tournament:
+def tournament(rows: DataFrame, spec: JobSpec, parallelism: int = 4, scaled: bool = True,
+               partitions: int | None = None) -> Tournament:
     """Search, refit and score every model of the job.
 
+    With ``scaled=False`` the features are raw: each fold is standardised by the other folds'
+    training rows, and the refitted models by all training rows, so no held-out row has a part
+    in any scaler. ``partitions`` deals the rows out first, for sources that come in few parts.
+
     ``rows`` holds standardised features, target, ``split`` and ``fold``. The driver loops
     over estimators only. The fits of a grid run as concurrent jobs over the persisted
     training rows; all models are then scored and measured on both splits in a single pass.
     """
     spark = rows.sparkSession
-    vectors = assemble(rows, spec.features).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.repartition(partitions) if partitions else rows
+    scalers, folded = None, None
+    if not scaled:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        folded = rows.where("split = 'train'").select(*spec.kept, "fold")
+        scalers = fold_scalers(folded, spec.features)
+        whole = apply_scaler(rows, fit_scaler(folded, spec.features))
+    vectors = assemble(rows if scaled else whole, spec.features).persist(StorageLevel.MEMORY_AND_DISK)
     train = vectors.where("split = 'train'")
     searches, models, scored = {}, {}, vectors
     try:
         if train.isEmpty():
             raise ValueError("no training rows")
-        folded = train.select("features", spec.target, "fold")
+        if scaled:
+            folded = train.select("features", spec.target, "fold")
         for name in spec.grids:
-            searches[name] = grid_search(folded, name, spec, parallelism=parallelism)
+            searches[name] = grid_search(folded, name, spec, parallelism=parallelism, scalers=scalers)
             best = searches[name].points[searches[name].best]
             models[name] = make_estimator(name, spec, best).fit(train)
             scored = models[name].copy().setPredictionCol(name).transform(scored)
@@ -57,6 +71,8 @@ def tournament(rows: DataFrame, spec: JobSpec, parallelism: int = 4) -> Tourname
         scores = spark.createDataFrame(table.collect(), table.schema)
     finally:
         vectors.unpersist()
+        if not scaled:
+            rows.unpersist()
     return Tournament(scores, models, searches)
 
 

@@ -59,7 +59,13 @@ def test_row_wise_operators_do_not_shuffle(items, build):
 
 
 def test_small_dimension_is_broadcast(items):
-    assert "BroadcastHashJoin" in plan(explain.top_factors(items, ["l_orderkey"], FX))
+    long = items.selectExpr("l_orderkey", "'l_tax' AS feature", "l_tax AS value")
+    assert "BroadcastHashJoin" in plan(explain.with_metadata(long, FX))
+
+
+def test_top_factors_neither_join_nor_shuffle(items):
+    shape = plan(explain.top_factors(items, ["l_orderkey"], FX))
+    assert "Join" not in shape and "Exchange" not in shape
 
 
 def test_latest_run_is_a_top_k(spark, sf):

@@ -212,3 +212,51 @@ def test_failed_preparation_is_logged(spark, sf, tmp_path):
         preparation.prepare(rx(spark, sf).drop("Watersheds"), REGIONAL, str(tmp_path))
     row = runs.read_runs(spark, f"{tmp_path}/runs").first()
     assert row["tags"]["status"] == "failed"
+
+
+KINDS = [("DecisionTreeRegressor", {"maxDepth": 4}), ("RandomForestRegressor", {"maxDepth": 4, "numTrees": 5}),
+         ("GradientBoostingRegressor", {"maxDepth": 3, "maxIter": 4, "stepSize": 0.3})]
+
+
+@pytest.mark.parametrize("name, params", KINDS)
+def test_tree_models_as_expressions(spark, items, name, params):
+    model = models.fit_model(items, FX, name, params, scaled=False)
+    nodes = models.node_table(spark, model, FX.features)
+    scored = model.transform(items.withColumn("own", models.tree_score(nodes.collect())))
+    assert scored.where(F.abs(F.col("own") - F.col("prediction")) > 1e-9).count() == 0
+    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+    own = models.gain_importances(nodes, FX.features, per_tree=name.startswith("R")).collect()
+    spark_own = models.importance_table(spark, model, FX.features).collect()
+    assert {r.feature: round(r.importance, 9) for r in own} == {r.feature: round(r.importance, 9) for r in spark_own}
+
+
+def test_a_tree_without_a_split(spark, items):
+    flat = items.withColumn("y", F.lit(0.5))
+    model = models.fit_model(flat, FX, "DecisionTreeRegressor", {"maxDepth": 3}, scaled=False)
+    nodes = models.node_table(spark, model, FX.features)
+    assert [tuple(r)[:4] for r in nodes.collect()] == [(0, 1, None, None)]
+    assert flat.select(models.tree_score(nodes.collect()).alias("p")).distinct().collect()[0].p == 0.5
+    with pytest.raises(ValueError, match="tree"):
+        models.node_table(spark, models.fit_model(items, FX), FX.features)
+
+
+def test_fold_scalers_see_the_other_folds_only(items):
+    folded = split.assign_folds(items, "id", FX)
+    found = scaling.fold_scalers(folded, FX.features)
+    for k in range(3):
+        want = scaling.fit_scaler(folded.where(F.col("fold") != k), FX.features)
+        assert np.allclose(found[k].means, want.means, rtol=1e-12)
+        assert np.allclose(found[k].stds, want.stds, rtol=1e-10)
+    with pytest.raises(ValueError, match="outside fold"):
+        scaling.fold_scalers(folded.where("fold = 1"), FX.features)
+
+
+def test_tournament_with_scalers_inside_the_folds(items):
+    spec = replace(FX, grids={"LinearRegression": {"regParam": (0.01, 0.1)}, "DecisionTreeRegressor": {"maxDepth": (2,)}})
+    rows = split.assign_folds(split.hash_split(items, "id", spec), "id", spec)
+    raw = training.tournament(rows.select(*spec.kept, "split", "fold"), spec, scaled=False, partitions=4)
+    scaler = scaling.fit_scaler(rows.where("split = 'train'"), spec.features)
+    whole = training.tournament(scaling.apply_scaler(rows, scaler).select(*spec.kept, "split", "fold"), spec)
+    for a, b in zip(raw.scores.orderBy("ordinal").collect(), whole.scores.orderBy("ordinal").collect(), strict=True):
+        assert a["model"] == b["model"] and abs(a["Test_RMSE"] - b["Test_RMSE"]) < 1e-6
+    assert raw.searches["DecisionTreeRegressor"].avg_rmse != [] and len(raw.searches["LinearRegression"].avg_rmse) == 2
