@@ -85,3 +85,12 @@ def random_scenario_report(spark, sf_dir):
     return long.groupBy("feature").agg(
         F.count("*").alias("n_rows"), F.sum("value").cast("bigint").alias("total"),
         F.min("value").cast("bigint").alias("lowest"), F.max("value").cast("bigint").alias("highest"))
+
+
+@check("""SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM
+          (SELECT *, count(*) AS n FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 3 = 0)
+           GROUP BY ALL)""")
+def duplicate_rows_all_columns(spark, sf_dir):
+    """On all columns of the line items, a third of which are there twice."""
+    items = table(spark, sf_dir, "lineitem")
+    return profile.duplicate_rows(items.unionAll(items.where("l_orderkey % 3 = 0")))

@@ -141,3 +141,18 @@ def cache_hits(spark, sf_dir):
 @check(CACHE_SQL.format("NOT"))
 def cache_misses(spark, sf_dir):
     return _cache_parts(spark, sf_dir)[1].select("event_id", "key")
+
+
+@check("""WITH k AS (SELECT event_id, ts, CASE WHEN value >= 10 THEN user_id || ':' || event_type END AS key FROM events),
+cache AS (SELECT DISTINCT key FROM k WHERE ts < TIMESTAMP '2024-01-03')
+SELECT event_id, k.key, c.found IS NOT NULL AS cached FROM k
+LEFT JOIN (SELECT key, true AS found FROM cache) c ON k.key IS NOT DISTINCT FROM c.key
+WHERE ts >= TIMESTAMP '2024-01-03'""")
+def cache_flags(spark, sf_dir):
+    """Hits and misses in one frame; a null key is a key."""
+    keyed = ev(spark, sf_dir).withColumn("key", F.when(
+        F.col("value") >= 10, F.concat_ws(":", "user_id", "event_type")))
+    limit = F.lit("2024-01-03").cast("timestamp")
+    cache = keyed.where(F.col("ts") < limit).select("key")
+    out = serving.flag_cached(keyed.where(F.col("ts") >= limit), cache, "key")
+    return out.select("event_id", "key", "cached")

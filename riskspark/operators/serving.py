@@ -96,10 +96,26 @@ def cooldown(df: DataFrame, client: str, ts: str, id: str, allowed: str = "allow
 
 # ---- result reuse -----------------------------------------------------------------------------
 
+def flag_cached(requests: DataFrame, cache: DataFrame, key: str, out: str = "cached") -> DataFrame:
+    """Add whether a request's key has a cached result, by one join over one scan.
+
+    A null key is a key, as in ``reuse_results``. Cached keys are made distinct first, so no
+    request is doubled. Spark splits a request key that is hot, and broadcasts the keys only
+    if it knows them to be few.
+    """
+    known = cache.select(F.col(key).alias("_known")).distinct().withColumn("_found", F.lit(True))
+    return (requests.join(known, F.col(key).eqNullSafe(F.col("_known")), "left")
+            .withColumn(out, F.col("_found").isNotNull()).drop("_known", "_found"))
+
+
 def cache_lookup(requests: DataFrame, cache: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Requests with a cached result, and those without."""
-    known = cache.select(key)
-    return requests.join(known, key, "left_semi"), requests.join(known, key, "left_anti")
+    """Requests with a cached result, and those without; a null key is a key.
+
+    For one of the two. ``flag_cached`` gives both in one frame, over one scan of the requests.
+    """
+    known = cache.select(F.col(key).alias("_known"))
+    same = F.col(key).eqNullSafe(F.col("_known"))
+    return requests.join(known, same, "left_semi"), requests.join(known, same, "left_anti")
 
 
 def reuse_results(df: DataFrame, key: str, ts: str, id: str, seconds: int = REUSE_SECONDS,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +26,64 @@ REGISTRY_SCHEMA = ("model_name string, algorithm string, run_id string, best_rms
                    "completed_at timestamp")
 # --- Fixed values: names in the model store and of a run without a model. ---
 VERSION_PREFIX = "best_model_v"
+LATEST = "best_model_latest"
 UNKNOWN_MODEL = "UnknownModel"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it is there; of several writers one succeeds.
+
+    File systems promise that for a create that may not overwrite; for local files the
+    operating system does.
+    """
+    target, fs = _file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    if fs.getUri().getScheme() == "file":
+        try:
+            os.close(os.open(target.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError as error:
+        if not fs.exists(target):
+            raise error
+        return False
+    return True
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Names under a folder that are whole numbers, in order."""
+    target, fs = _file_system(spark, folder)
+    if not fs.exists(target):
+        return []
+    names = [entry.getPath().getName() for entry in fs.listStatus(target)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def claim_version(spark: SparkSession, folder: str, least: int = 1) -> int:
+    """Take the next number of a folder for this writer alone, from ``least`` on.
+
+    A claim is a file that only one writer can create; who comes second takes the next number.
+    A writer that fails leaves a gap.
+    """
+    claims = f"{folder}/claims"
+    number = max([least - 1, *_numbers(spark, claims)]) + 1
+    while not _create_new(spark, f"{claims}/{number}"):
+        number += 1
+    return number
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look a path up in whatever file system it names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, fs = _file_system(spark, path)
+    return fs.exists(target)
 
 
 def _now() -> datetime:
@@ -147,16 +200,24 @@ def history_length(history: DataFrame) -> DataFrame:
 
 # ---- champion pointer -------------------------------------------------------------------------
 
-def write_champion(champion: DataFrame, path: str) -> None:
-    """Replace the pointer table (one row with ``run_id``)."""
-    champion.write.mode("overwrite").parquet(path)
+def write_champion(champion: DataFrame, path: str) -> int:
+    """Write the pointer table (one row with ``run_id``) as the next version, and return that.
+
+    Earlier versions stay, so a reader finds a whole pointer at any time, and of two writers
+    the one with the higher number stands.
+    """
+    number = claim_version(champion.sparkSession, path)
+    champion.write.parquet(f"{path}/{number}")
+    return number
 
 
 def read_champion(spark: SparkSession, path: str) -> str:
     """The champion's run id; raises when there is no pointer or the pointer is blank."""
-    if not path_exists(spark, path):
+    whole = [n for n in _numbers(spark, path) if path_exists(spark, f"{path}/{n}/_SUCCESS")]
+    if not whole:
         raise FileNotFoundError(f"no champion pointer at {path}; train first")
-    row = spark.read.parquet(path).select(F.trim("run_id", F.lit(" \t\r\n")).alias("run_id")).limit(1).first()
+    newest = spark.read.parquet(f"{path}/{whole[-1]}")
+    row = newest.select(F.trim("run_id", F.lit(" \t\r\n")).alias("run_id")).limit(1).first()
     if row is None or not row["run_id"]:
         raise ValueError(f"the champion pointer at {path} is empty; train again")
     return row["run_id"]
@@ -178,9 +239,14 @@ def log_model(model: PipelineModel, root: str, run_id: str, name: str = "model")
 
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel:
-    """Load a pipeline model after checking that its folder is complete."""
+    """Load a pipeline model after checking that its folder is complete.
+
+    The path of the latest model is a pointer: it leads to the newest version.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no model at {path}")
+    if path.rstrip("/").rsplit("/", 1)[-1] == LATEST and (newest := _numbers(spark, path)):
+        path = f"{path.rstrip('/').rsplit('/', 1)[0]}/{VERSION_PREFIX}{newest[-1]}"
     missing = [part for part in ("metadata", "stages") if not path_exists(spark, f"{path}/{part}")]
     if missing:
         raise FileNotFoundError(f"model at {path} is incomplete: no {' and no '.join(missing)}")
@@ -203,17 +269,24 @@ def versioned_names(names: DataFrame, column: str = "name") -> DataFrame:
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], REGISTRY_SCHEMA)
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+    return spark.read.schema(REGISTRY_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
 
 def promote(spark: SparkSession, model: PipelineModel, store: str, run_id: str, algorithm: str,
             best_rmse: float, model_name: str) -> int:
-    """Save a model as the next version and as ``latest``, record it, return the version."""
+    """Save a model as the next version, record it, and let ``latest`` point to it.
+
+    Returns the version. It is claimed first, so that two promotions at once get two versions.
+    ``latest`` is a folder with an empty file for each version, made once the version is whole:
+    nothing is overwritten, and a reader always finds a whole model behind it.
+    """
     registry_path = f"{store}/registry"
-    version = int(versions(read_registry(spark, registry_path)).first()["next_version"])
-    versioned, latest = f"{store}/{VERSION_PREFIX}{version}", f"{store}/best_model_latest"
+    least = int(versions(read_registry(spark, registry_path)).first()["next_version"])
+    version = claim_version(spark, store, least)
+    versioned, latest = f"{store}/{VERSION_PREFIX}{version}", f"{store}/{LATEST}"
     save_model(model, versioned)
-    save_model(model, latest)
     row = (model_name, algorithm, run_id, float(best_rmse), version, versioned, latest, _now())
-    spark.createDataFrame([row], REGISTRY_SCHEMA).write.mode("append").parquet(registry_path)
+    # A folder for each version: writers at once do not clear up each other's unfinished files.
+    spark.createDataFrame([row], REGISTRY_SCHEMA).write.parquet(f"{registry_path}/{version}")
+    _create_new(spark, f"{latest}/{version}")
     return version

@@ -59,7 +59,7 @@ def test_row_wise_operators_do_not_shuffle(items, build):
 
 
 def test_small_dimension_is_broadcast(items):
-    long = items.selectExpr("l_orderkey", "'l_tax' AS feature", "l_tax AS value")
+    long = reshape.to_long(items, ["l_orderkey"], FX.features)
     assert "BroadcastHashJoin" in plan(explain.with_metadata(long, FX))
 
 

@@ -260,3 +260,41 @@ def test_tournament_with_scalers_inside_the_folds(items):
     for a, b in zip(raw.scores.orderBy("ordinal").collect(), whole.scores.orderBy("ordinal").collect(), strict=True):
         assert a["model"] == b["model"] and abs(a["Test_RMSE"] - b["Test_RMSE"]) < 1e-6
     assert raw.searches["DecisionTreeRegressor"].avg_rmse != [] and len(raw.searches["LinearRegression"].avg_rmse) == 2
+
+
+def test_promotions_at_once_get_versions_of_their_own(spark, items, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    model = models.fit_model(items, FX)
+    store = f"{tmp_path}/models"
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda i: runs.promote(spark, model, store, f"run-{i}", "a", 0.1, "m"), range(4)))
+    assert sorted(found) == [1, 2, 3, 4]
+    assert runs.read_registry(spark, f"{store}/registry").select("version").distinct().count() == 4
+    assert isinstance(runs.load_model(spark, f"{store}/best_model_latest"), PipelineModel)
+    assert runs.claim_version(spark, store) == 5 and runs.promote(spark, model, store, "r", "a", 0.1, "m") == 6
+
+
+def test_a_pointer_is_there_while_another_is_written(spark, tmp_path):
+    path = f"{tmp_path}/champion"
+    assert runs.write_champion(spark.createDataFrame([("one",)], "run_id string"), path) == 1
+    runs.claim_version(spark, path)  # a writer that has not finished
+    (tmp_path / "champion" / "2").mkdir()
+    assert runs.read_champion(spark, path) == "one"
+    assert runs.write_champion(spark.createDataFrame([("two",)], "run_id string"), path) == 3
+    assert runs.read_champion(spark, path) == "two"
+
+
+def test_claims_are_exclusive(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda _: runs.claim_version(spark, f"{tmp_path}/x"), range(24)))
+    assert sorted(found) == list(range(1, 25))
+
+
+def test_duplicates_move_digests(spark):
+    rows = [(1, None, 0.0), (1, None, -0.0), (1, "a", float("nan")), (1, "a", float("nan")), (2, "a", 1.0), (None,) * 3]
+    df = spark.createDataFrame(rows * 2 + [(3, "z", 2.0)], "a int, `b.c` string, d double")
+    assert profile.duplicate_rows(df).first().duplicates == 13 - df.distinct().count()
+    assert profile.duplicate_rows(df.limit(0)).first().duplicates == 0
