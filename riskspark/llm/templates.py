@@ -34,8 +34,9 @@ WINDOW = 8
 #: Plain words that a window must have, so that rows of placeholders match nothing.
 PLAIN_WORDS = 4
 COVER = 0.5
-#: Up to this many benchmark windows go to every task as a filter; beyond, all windows shuffle.
-FILTER_WINDOWS = 1 << 20
+#: Bits of the table of benchmark windows that goes to every task, of one size whatever their
+#: number, and bits of it that a task puts together.
+TABLE_BITS, BLOCK_BITS = 26, 15
 #: Words that a Python worker keeps.
 MEMORY_WORDS = 250_000
 
@@ -196,20 +197,37 @@ def window_rows(texts: list[str], lexicon: Lexicon, window: int, plain_words: in
 
 
 class Wanted:
-    """Membership in the benchmark's hashes: a table of bits first, then the sorted hashes."""
+    """Which hashes may be the benchmark's: one bit for each value of their last bits.
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes = np.unique(hashes.astype(np.uint64))
-        self.bits = np.zeros(1 << 22, bool)
-        self.bits[self.hashes & np.uint64(len(self.bits) - 1)] = True
+    It lets through all of the benchmark's windows and few others, which the join then drops;
+    the more windows the benchmark has, the more others.
+    """
+
+    def __init__(self, blocks: dict[int, bytes], table_bits: int = TABLE_BITS) -> None:
+        self.bits = np.zeros(1 << (table_bits - 3), np.uint8)
+        for block, own in blocks.items():
+            self.bits[block * len(own):(block + 1) * len(own)] = np.frombuffer(own, np.uint8)
+
+    @classmethod
+    def of(cls, items: DataFrame, table_bits: int = TABLE_BITS) -> Wanted:
+        """From the windows' hashes; tasks make the blocks, at most 2**table_bits bits come here."""
+        place = F.col("hash").bitwiseAND(F.lit((1 << table_bits) - 1))
+        block_bits = min(BLOCK_BITS, table_bits)
+
+        def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            own = np.zeros(1 << block_bits, np.uint8)
+            own[table.column("bit").to_numpy()] = 1
+            return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array(
+                [np.packbits(own, bitorder="little").tobytes()], pa.binary())})
+
+        blocks = (items.select(F.shiftright(place, block_bits).cast("int").alias("block"),
+                               place.bitwiseAND(F.lit((1 << block_bits) - 1)).cast("int").alias("bit"))
+                  .distinct().groupBy("block").applyInArrow(pack, "block int, bits binary"))
+        return cls({r.block: bytes(r.bits) for r in blocks.collect()}, table_bits)
 
     def __call__(self, values: np.ndarray) -> np.ndarray:
-        maybe = np.flatnonzero(self.bits[values & np.uint64(len(self.bits) - 1)])
-        at = np.searchsorted(self.hashes, values[maybe])
-        found = np.zeros(len(values), bool)
-        if len(self.hashes):
-            found[maybe] = self.hashes[np.minimum(at, len(self.hashes) - 1)] == values[maybe]
-        return found
+        place = values & np.uint64(8 * len(self.bits) - 1)
+        return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
 def windows(docs: DataFrame, key: str, window: int = WINDOW, plain_words: int = PLAIN_WORDS,
@@ -241,8 +259,8 @@ def windows(docs: DataFrame, key: str, window: int = WINDOW, plain_words: int =
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  plain_words: int = PLAIN_WORDS, cover: float = COVER, doc_id: str = "doc_id",
-                 item_id: str = "item_id", filter_windows: int = FILTER_WINDOWS,
-                 by_window: bool = False) -> DataFrame:
+                 item_id: str = "item_id", by_window: bool = False,
+                 table_bits: int = TABLE_BITS) -> DataFrame:
     """The documents that hold a benchmark item, with or without other numbers, names and units.
 
     One row for each document and item: the ids, ``windows`` of the item found, ``n_windows`` of
@@ -258,10 +276,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     # At most one row for each width up to ``window``.
     shapes = items.groupBy("width").agg(F.bool_or("exact").alias("exact")).collect()
     widths, exact = sorted(r.width for r in shapes), any(r.exact for r in shapes)
-    wanted = None
-    if items.count() <= filter_windows:
-        wanted = Wanted(np.array([r.hash for r in items.select("hash").distinct().collect()],
-                                 np.int64).view(np.uint64))
+    wanted = Wanted.of(items, table_bits)
     mine = items.select(F.col(item_id).alias("_item"), F.col("place").alias("_item_place"), "hash",
                         "template", F.col("slots").alias("_item_slots"),
                         F.col("n_windows").alias("_n"))
