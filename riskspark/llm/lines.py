@@ -185,24 +185,27 @@ class LineIndex:
     def remove(self, docs: DataFrame) -> None:
         self.change(docs, -1)
 
-    def clean(self, docs: DataFrame) -> DataFrame:
+    def clean(self, docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         """``docs`` without the lines whose keys are active now; as ``drop_lines`` returns them.
 
         The documents need not be among those added. Each distinct key is looked up once, so a
         frequent line is no group; a text then joins the active ones of its keys.
         """
         tag = free_name(docs, "_tag")
-        tagged = docs.withColumn(tag, _tag())
+        tagged = docs.withColumn(tag, _tag(doc_id))
         pairs = line_pairs(tagged, tag, self.min_chars).distinct()
         asked = pairs.groupBy("k1", "k2").agg(F.lit(0).alias("_of")).select("_of", "k1", "k2")
         active = active_pairs(asked, self.filters, self.shards).select("k1", "k2")
         return _without(tagged, tag, pairs.join(active, ["k1", "k2"]), set(), self.min_chars)
 
 
-def _tag():
-    """Tells texts apart. Where two texts should ever share one, each gets the other's active
-    keys as well, which drop no line that is not to be dropped anyway."""
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+def _tag(doc_id: str):
+    """Tells rows apart that differ in id or text, so neither copies nor rows of one id are a group.
+
+    Where two rows should ever share one, each gets the other's active keys as well, which drop
+    no line that is not to be dropped anyway.
+    """
+    return F.xxhash64(F.col(doc_id), F.coalesce("text", F.lit("")))
 
 
 def _without(tagged: DataFrame, tag: str, found: DataFrame, hot_bytes: set[bytes],
@@ -233,7 +236,8 @@ def _without(tagged: DataFrame, tag: str, found: DataFrame, hot_bytes: set[bytes
     return joined.select(*plain, keys).mapInArrow(clean, schema)
 
 
-def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
+               doc_id: str = "doc_id") -> DataFrame:
     """Take every line whose key is in ``min_docs`` documents or more out of all documents.
 
     Returns the columns of ``docs`` with the new text, then ``n_lines`` (before) and
@@ -247,7 +251,7 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     spark = docs.sparkSession
     shared_dir(spark)
     tag = free_name(docs, "_tag")
-    tagged = docs.withColumn(tag, _tag())
+    tagged = docs.withColumn(tag, _tag(doc_id))
     pairs = line_pairs(tagged, tag, min_chars).checkpoint()
     counts = key_counts(pairs)
     total = rows_of(pairs)
