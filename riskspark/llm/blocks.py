@@ -10,7 +10,8 @@ from functools import lru_cache
 
 # Attributes as the HTML standard reads them: quotes count only at the start of a value, an unquoted
 # value ends at white space or '>', and a name may hold anything else. Nothing is tried twice.
-_ATTRIBUTES = (r"(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?+)?+|=)*+")
+_ATTRIBUTES = (r"(?:[^>\"']*+(?=>)|"  # no quotes at all
+               r"(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?+)?+|=)*+)")
 # A comment, a whole element of raw text that is not shown, or a tag.
 _PIECE = re.compile(
     r"<!--(?:-?>|.*?(?:-->|\Z))"
@@ -129,9 +130,10 @@ def split_blocks(page: str) -> list[Block]:
 
     def cut(depth: int) -> None:
         nonlocal inside_link, hidden
-        inside_link -= sum(t == "a" for t, _ in stack[depth:])
-        standing.subtract(t for t, _ in stack[depth:])
-        del stack[depth:]
+        while len(stack) > depth:
+            gone, _ = stack.pop()
+            standing[gone] -= 1
+            inside_link -= gone == "a"
         if hidden is not None and depth <= hidden:
             hidden = None
 
