@@ -13,6 +13,7 @@ from checks.tables import FX1, ev, fx
 from riskspark.session import work_path
 from riskspark.streaming import events as E
 from riskspark.streaming import serving as S
+from riskspark.streaming.keyed import read_merged
 from riskspark.streaming.stateful import read_output
 
 STARTS = ("2024-01-11", "2024-01-21")
@@ -98,6 +99,25 @@ def stream_closed_windows(spark, sf_dir):
 @check("""SELECT user_id, event_id, event_type, value FROM events
           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_latest_result(spark, sf_dir):
+    feed, root = event_feed(spark, sf_dir), work_path(spark, "latest")
+    S.latest_result_table(feed, "user_id", "ts", "event_id", root, 16).awaitTermination()
+    return read_merged(spark, root, feed.schema).select("user_id", "event_id", "event_type", "value")
+
+
+@check(f"""SELECT user_id, event_id, event_type, value FROM events
+           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+             AND ts >= TIMESTAMP '{STARTS[1]}'""")
+def stream_latest_updates(spark, sf_dir):
+    """Update mode: the clients whose newest row came with the third batch."""
+    feed, root = event_feed(spark, sf_dir), work_path(spark, "latest")
+    S.latest_result_table(feed, "user_id", "ts", "event_id", root, 16).awaitTermination()
+    return (read_merged(spark, root, feed.schema, since=2)
+            .select("user_id", "event_id", "event_type", "value"))
+
+
+@check("""SELECT user_id, event_id, event_type, value FROM events
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def stream_latest_complete(spark, sf_dir):
     out = S.latest_result_stream(event_feed(spark, sf_dir), "user_id", "ts", "event_id")
     return drained(spark, out, "complete").select("user_id", "event_id", "event_type", "value")
 

@@ -11,6 +11,7 @@ from riskspark.operators.serving import (latest_result, rate_limit, reuse_result
                                          window_counts)
 from riskspark.plans.scoring import score_requests
 from riskspark.spec import JobSpec, REQUESTS_PER_WINDOW, REUSE_SECONDS, WINDOW_SECONDS
+from riskspark.streaming.keyed import merge_stream
 from riskspark.streaming.stateful import release, run_stateful
 
 
@@ -93,6 +94,16 @@ def latest_result_stream(df: DataFrame, client: str, ts: str, id: str) -> DataFr
     return latest_result(df, client, ts, id)
 
 
+def latest_result_table(df: DataFrame, client: str, ts: str, id: str, root: str,
+                        buckets: int = 256) -> StreamingQuery:
+    """The same as a table of which a batch rewrites only the buckets of its clients.
+
+    Read it with ``keyed.read_merged``. A row that arrives late just loses against a newer one, so
+    no row has to wait or is set aside.
+    """
+    return merge_stream(df, client, lambda rows: latest_result(rows, client, ts, id), root, buckets)
+
+
 def score_stream(df: DataFrame, ids: list[str], model: PipelineModel, spec: JobSpec,
                  link: str = "identity", scaled: bool = True) -> DataFrame:
     """Responses to the good requests of a stream; the plan is the one of the batch job."""

@@ -2,11 +2,14 @@
 
 from datetime import datetime, timedelta, timezone
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from riskspark.operators import serving
 from riskspark.streaming import events as E
 from riskspark.streaming import serving as S
+from riskspark.streaming.keyed import read_merged
 from riskspark.streaming.stateful import read_output
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -126,6 +129,51 @@ def test_complete_tables_are_replaced_whole(spark, tmp_path):
     assert sorted(r["id"] for r in E.read_complete(spark, out).collect()) == [3, 13]
 
 
+def latest(spark, src, root, buckets=8):
+    S.latest_result_table(stream(spark, src), "client", "ts", "id", root, buckets).awaitTermination()
+    rows = read_merged(spark, root, stream(spark, src).schema).collect()
+    return {r["client"]: (r["id"], r["changed_in"]) for r in rows}
+
+
+def test_latest_table_rewrites_only_touched_buckets(spark, tmp_path):
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
+    names = [f"c{i}" for i in range(40)]
+    feed(spark, src, [(c, 0, i) for i, c in enumerate(names)] + [(None, 5, 100)])
+    feed(spark, src, [("c3", 9, 200), ("c3", 8, 201), ("c4", -9, 202)])  # the last is late
+    got = latest(spark, src, root)
+    assert got == {**{c: (i, 0) for i, c in enumerate(names)}, None: (100, 0), "c3": (200, 1)}
+    touched = list((tmp_path / "job" / "rows" / "1").glob("bucket=*"))
+    assert 1 <= len(touched) <= 2
+    changed = read_merged(spark, root, stream(spark, src).schema, since=1).collect()
+    assert [(r["client"], r["id"]) for r in changed] == [("c3", 200)]
+
+
+def test_latest_table_goes_on_and_repeats(spark, tmp_path):
+    """A restart goes on, a repeated batch changes nothing, unnamed versions are deleted."""
+    src, root = f"{tmp_path}/src", f"{tmp_path}/job"
+    assert read_merged(spark, root, stream_schema(spark)).count() == 0
+    for i in range(4):
+        feed(spark, src, [("a", i, i), (f"b{i}", i, 10 + i)])
+        got = latest(spark, src, root)
+    assert got == {"a": (3, 3), **{f"b{i}": (10 + i, i) for i in range(4)}}
+    for name in ("3", ".3.crc"):
+        (tmp_path / "job" / "checkpoint" / "commits" / name).unlink()
+    assert latest(spark, src, root) == got
+    assert E.written_versions(spark, f"{root}/manifest") == [2, 3]
+    named = {(r["version"], r["bucket"]) for v in (2, 3)
+             for r in spark.read.parquet(f"{root}/manifest/{v}").collect()}
+    on_disk = {(int(p.parent.name), int(p.name.split("=")[1]))
+               for p in (tmp_path / "job" / "rows").glob("*/bucket=*")}
+    assert on_disk == named
+    feed(spark, src, [("a", 9, 9)])
+    with pytest.raises(StreamingQueryException, match="8 buckets"):
+        latest(spark, src, root, buckets=4)
+
+
+def stream_schema(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
 def test_scored_stream_of_requests_needs_no_state(spark, tmp_path, sf):
     from checks.tables import FX, fx
     from riskspark.operators.models import fit_model
