@@ -163,12 +163,32 @@ def _summed(rows: DataFrame, of) -> np.ndarray | None:
 
 def fit_labels(labels: DataFrame, doc_id: str = "doc_id", label: str = "quality",
                fit_rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
-    """The id and ``label`` of about ``fit_rows`` labelled rows at most that a fit may learn from."""
-    named = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id))
+    """About ``fit_rows`` labelled ids at most that a fit may learn from, with their mean ``label``."""
+    named = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id))
+             .groupBy(doc_id).agg(F.avg(F.col(label).cast("double")).alias("label")))
     part = min(1.0, fit_rows / max(1, named.count()))
     turn = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30))
     return (named.where(turn < int(part * (1 << 30)))
-            .select(doc_id, F.col(label).cast("double").alias("label")))
+            .select(doc_id, "label"))
+
+
+def fit_table(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality",
+              fit_rows: int = FIT_ROWS, seed: int = SEED) -> DataFrame:
+    """What a fit reads: ``doc_id, stats, label, calibrates``, about ``fit_rows`` rows at most.
+
+    An id has one label, the mean of its labels; its rows with equal statistics count once. The
+    labels, one for each of about ``fit_rows`` ids, go to every task. If ids repeat, their rows
+    are thinned out by a hash of id and statistics, and dealt out by the same.
+    """
+    chosen = F.broadcast(fit_labels(labels, doc_id, label, fit_rows, seed))
+    calibrates = F.pmod(F.xxhash64(doc_id, F.lit(seed + 1)), F.lit(4)) == 0
+    rows = (stats.join(chosen, doc_id)
+            .select(doc_id, "stats", "label", calibrates.alias("calibrates"))
+            .dropDuplicates([doc_id, "stats"])
+            .repartition(FIT_PARTITIONS, F.xxhash64(doc_id, "stats")).checkpoint())
+    part = min(1.0, fit_rows / max(1, rows.count()))
+    turn = F.pmod(F.xxhash64(doc_id, "stats", F.lit(seed + 2)), F.lit(1 << 30))
+    return rows.where(turn < int(part * (1 << 30)))
 
 
 def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality",
@@ -177,18 +197,14 @@ def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     """Learn from the labelled rows that are not held out, ``fit_rows`` of them by hash at most.
 
     A quarter of the rows calibrates, the others fit. Null labels, ids and rows without a match
-    do not count; repeated labels count one by one. Without rows every score is 0.5, and with
-    one class alone the scores are that class.
+    do not count; repeated labels are averaged (see ``fit_table``). Without rows every score is
+    0.5, and with one class alone the scores are that class.
     """
     width = len(STATISTICS)
     rng = np.random.default_rng(seed)
     blank = Classifier(np.zeros(width), np.ones(width), np.zeros((width, features)),
                        np.zeros(features), np.zeros(features + 1), np.zeros(0), np.array([0.5]))
-    chosen = fit_labels(labels, doc_id, label, fit_rows, seed)
-    rows = (stats.join(chosen, doc_id)
-            .select(doc_id, "stats", "label", (F.pmod(F.xxhash64(doc_id, F.lit(seed + 1)), F.lit(4)) == 0)
-                    .alias("calibrates"))
-            .repartition(FIT_PARTITIONS, F.xxhash64(doc_id)).checkpoint())
+    rows = fit_table(stats, labels, doc_id, label, fit_rows, seed)
     fits, calibrates = rows.where("NOT calibrates"), rows.where("calibrates")
     sums = _summed(fits, lambda x, y: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]))
     if sums is None:
