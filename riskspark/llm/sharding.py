@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.llm.arrow import rows_of
-from riskspark.llm.slots import gapless_slots
+from riskspark.llm.slots import gapless_slots_by_key
 
 # The linear congruential step of the published jump hash.
 MULTIPLIER = 2862933555777941757
@@ -74,7 +74,7 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
     is appended, which is either the same or the new one. No other column is read.
 
     A null text counts as empty (crc 0); a null key is hashed as the empty string; rows with
-    equal keys share a shard and get slots of their own; an empty table gives no row; columns
+    equal keys share a shard and get slots of their own, however many they are; an empty table gives no row; columns
     of the input that bear a result's name are not looked at.
     """
     jumps = jump_shards(F.col(key), shards)
@@ -83,8 +83,7 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
         key,
         (F.coalesce(F.octet_length("_text"), F.lit(0)) + overhead).cast("bigint").alias("size"),
         F.crc32(F.coalesce("_text", F.lit("")).cast("binary")).alias("text_crc32"),
-        F.lit("key").alias("law"), F.col("_jumps.shard").alias("shard"),
-        F.col("_jumps.grown").alias("grown_shard"))
-    numbered = gapless_slots(sized, ["shard"], key_spread(F.col(key)),
-                             [key, "size", "text_crc32"], rows_of(docs))
-    return numbered.select(key, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+        F.coalesce("_jumps.shard", F.lit(0)).alias("shard"), F.col("_jumps.grown").alias("grown_shard"))
+    numbered = gapless_slots_by_key(sized, ["shard"], key_spread(F.col(key)), key, rows_of(docs))
+    return numbered.select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+                           "grown_shard")

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import pytest
 
+from riskspark.llm import slots
 from riskspark.llm.sharding import assign_shards
 
 
@@ -22,13 +23,13 @@ def jump(key, shards):
 def test_against_the_published_loop(documents, shards):
     rows = assign_shards(documents, shards).collect()
     assert len(rows) == documents.count()
-    slots = defaultdict(list)
+    taken = defaultdict(list)
     for r in rows:
         assert r.shard == jump(r.doc_id, shards)
         assert r.grown_shard == jump(r.doc_id, shards + 1)
         assert r.grown_shard in (r.shard, shards)
-        slots[r.shard].append(r.slot)
-    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        taken[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in taken.values())
 
 
 def test_bytes_and_crc(documents):
@@ -47,8 +48,27 @@ def test_odd_rows(make_docs, odd):
         if r.doc_id in (1, 2):
             assert (r["size"], r.text_crc32) == (8, 0)
     assert all(len(s) == 1 for s in by_id.values())
-    slots = sorted((r.shard, r.slot) for r in rows)
-    assert len(set(slots)) == len(odd)
+    assert len({(r.shard, r.slot) for r in rows}) == len(odd)
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_rows_of_one_id(make_docs, monkeypatch, hot):
+    """A third of the rows bear one id, half of these one text; no part or run holds many."""
+    monkeypatch.setattr(slots, "ROWS_PER_BUCKET", 20)
+    items = ([(hot, f"text {i}") for i in range(300)] + [(hot, "copy")] * 300
+             + [(100 + i, f"other {i}") for i in range(1200)])
+    docs = make_docs(items)
+    rows = assign_shards(docs, 5).collect()
+    by_shard = defaultdict(list)
+    for r in rows:
+        assert r.shard == jump(r.doc_id, 5)
+        by_shard[r.shard].append(r.slot)
+    assert sum(map(len, by_shard.values())) == len(items)
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+    want = sorted((i if i is not None else -1, zlib.crc32(t.encode())) for i, t in items)
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.text_crc32) for r in rows) == want
+    again = assign_shards(docs.repartition(7), 5).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
 
 
 def test_empty_table_and_no_shards(make_docs):
