@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from riskspark.llm.arrow import parts, same, text_key, texts, to_batch
+from riskspark.llm.arrow import free_name, parts, text_key, texts, to_batch
 from riskspark.llm.components import components
 from riskspark.session import shared_dir
 
@@ -213,8 +213,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                    text_key(F.col("text")).alias("text"))
     own = fingerprints(docs.select(key.alias("_key"), "text"), shingle, "_key").checkpoint()
     kept = (_rooted(own, F.col("_key"), max_bits).groupBy("root").agg(F.min("least").alias("_key"))
-            .select(F.col("_key.id").alias("_kept"), F.col("_key.text").alias("_kept_text")).checkpoint())
-    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
-    return (keyed.join(kept, same(keyed[doc_id], kept["_kept"])
-                       & (keyed["_text_key"] == kept["_kept_text"]), "left_semi")
-            .dropDuplicates([doc_id, "_text_key"]).drop("_text_key"))
+            .select("_key").checkpoint())
+    # One key for both steps, so that whole rows are shuffled by it once.
+    name = free_name(docs, "_key")
+    once = docs.withColumn(name, key).dropDuplicates([name])
+    return once.join(kept.withColumnRenamed("_key", name), name, "left_semi").drop(name)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType,
                                StructField, StructType)
 
-from riskspark.llm.arrow import parts, same, text_key, texts, to_batch
+from riskspark.llm.arrow import parts, rows_of, same, text_key, texts, to_batch
 from riskspark.llm.tokens import Words, worker_memory
 from riskspark.session import shared_dir
 
@@ -34,6 +34,8 @@ WINDOW = 8
 #: Plain words that a window must have, so that rows of placeholders match nothing.
 PLAIN_WORDS = 4
 COVER = 0.5
+#: Contaminated documents whose ids and digests (some 100 bytes each) go to every task.
+BROADCAST_ROWS = 1 << 18
 #: Bits of the table of benchmark windows that goes to every task, of one size whatever their
 #: number, and bits of it that a task puts together.
 TABLE_BITS, BLOCK_BITS = 26, 15
@@ -322,10 +324,15 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_
                       **options) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns.
 
-    Each row is judged by its own text, whatever other rows share its id or have none.
+    Each row is judged by its own text, whatever other rows share its id or have none. Ids and
+    digests of up to ``BROADCAST_ROWS`` contaminated texts go to every task, so no text is
+    shuffled; more of them are joined by a shuffle, with the same rows.
     """
     key = F.struct(F.col(doc_id).alias("id"), text_key(F.col("text")).alias("text"))
     bad = (contaminated(docs.select(key.alias("_key"), "text"), benchmark, doc_id="_key", **options)
-           .select(F.col("_key.id").alias("_bad"), F.col("_key.text").alias("_bad_text")).distinct())
+           .select(F.col("_key.id").alias("_bad"), F.col("_key.text").alias("_bad_text")).distinct()
+           .checkpoint())
+    if rows_of(bad) <= BROADCAST_ROWS:
+        bad = F.broadcast(bad)
     return docs.join(bad, same(docs[doc_id], bad["_bad"])
                      & (text_key(docs["text"]) == bad["_bad_text"]), "left_anti")

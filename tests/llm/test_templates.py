@@ -1,5 +1,6 @@
 import pytest
 
+from riskspark.llm import templates
 from riskspark.llm.templates import Wanted, contaminated, drop_contaminated, window_rows, Lexicon
 
 ITEM = ("A farmer named Oscar sold 25 kg of apples to Maria for 3 dollars each while his neighbour "
@@ -133,3 +134,13 @@ def test_new_numbers_against_what_was_made(spark, make_docs):
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     for bits in (3, 15, 20):
         assert pairs(contaminated(make_docs(docs), benchmark, table_bits=bits)) == want
+
+
+def test_one_result_with_and_without_broadcast(spark, sf, documents, monkeypatch):
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+    small = templates.drop_contaminated(documents, benchmark, by_window=True)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(templates, "BROADCAST_ROWS", -1)
+    large = templates.drop_contaminated(documents, benchmark, by_window=True)
+    kept = sorted(map(repr, small.collect()))
+    assert kept == sorted(map(repr, large.collect())) and 0 < len(kept) < documents.count()
