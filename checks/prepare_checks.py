@@ -37,6 +37,26 @@ def remaining_columns(spark, sf_dir):
     return df.limit(1).select(F.posexplode(names).alias("pos", "name"))
 
 
+# What is left after the drop is known from the names; its values are read from all rows.
+LEFT_SQL = ["id", *REGIONAL.features, REGIONAL.target]
+
+
+@check(f"WITH {RX_SQL} " + " UNION ALL ".join(
+    f"""SELECT {i} AS pos, '{c}' AS name, count("{c}") AS n, CAST(min("{c}") AS VARCHAR) AS least
+        FROM rx""" if c != REGIONAL.target else
+    f"""SELECT {i} AS pos, '{c}' AS name, count("{c}") AS n, NULL AS least FROM rx"""
+    for i, c in enumerate(LEFT_SQL)))
+def remaining_column_values(spark, sf_dir):
+    df = rx(spark, sf_dir)
+    left = prepare.remaining_columns(df, REGIONAL.dropped)
+    least = {c: F.min(c).cast("string") if c != REGIONAL.target else F.lit(None).cast("string")
+             for c in left}
+    rows = df.agg(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"),
+                                     F.count(c).alias("n"), least[c].alias("least"))
+                            for i, c in enumerate(left)]).alias("rows"))
+    return rows.select(F.inline("rows"))
+
+
 @check(f"""WITH {FX_SQL} SELECT id, l_quantity + l_extendedprice + l_discount + l_tax AS total,
                   l_extendedprice AS second, 4 AS n FROM fx""")
 def assemble_vector(spark, sf_dir):

@@ -41,6 +41,17 @@ def read_csv_inferred(spark, sf_dir):
                  F.round(F.max("l_tax"), 2).alias("tax")))
 
 
+# Whole numbers below 2^31 are read back as integers, texts of dates and times as timestamps.
+@check("SELECT * REPLACE (" + ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in (
+    "l_orderkey", "l_partkey", "l_suppkey")) + ", epoch_us(l_shipdate) AS l_shipdate) FROM lineitem")
+def read_csv_inferred_rows(spark, sf_dir):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    path = work_path(spark, "csv")
+    items = table(spark, sf_dir, "lineitem")
+    files.write_csv(items.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")), path)
+    return files.read_csv(spark, path).withColumn("l_shipdate", F.unix_micros("l_shipdate"))
+
+
 @check(f"WITH {FX_SQL} SELECT id, l_quantity, l_extendedprice, l_discount, l_tax, y, "
        f"{SPLIT_SQL} AS split FROM fx")
 def write_prepared(spark, sf_dir):
