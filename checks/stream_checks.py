@@ -1,6 +1,6 @@
 """Streams over the event and line item tables; they must equal the batch results.
 
-The input arrives as three files in event order, one per micro-batch, so that state
+The input arrives in three parts in event order, one per micro-batch, so that state
 crosses batches.
 """
 
@@ -20,17 +20,27 @@ STARTS = ("2024-01-11", "2024-01-21")
 
 
 def event_feed(spark, sf_dir, order=(0, 1, 2)):
+    """The events as a stream of three batches, however many files the table has.
+
+    A task of the scan writes a file of a part; empty files bring all parts to the same number,
+    which then is a batch.
+    """
     events = ev(spark, sf_dir)
     path = work_path(spark, "feed")
+    files = max(1, events.rdd.getNumPartitions())
+    nothing = spark.createDataFrame([], events.schema)
     bounds = [None, *[F.lit(s).cast("timestamp") for s in STARTS], None]
-    for low, high in [(bounds[i], bounds[i + 1]) for i in order]:
+    for turn, (low, high) in enumerate([(bounds[i], bounds[i + 1]) for i in order], 1):
         part = events
         if low is not None:
             part = part.where(F.col("ts") >= low)
         if high is not None:
             part = part.where(F.col("ts") < high)
         part.write.mode("append").parquet(path)
-    stream = E.read_stream(spark, path, events.schema, max_files=1)
+        written = len(spark.read.schema(events.schema).parquet(path).inputFiles())
+        for _ in range(turn * files - written):
+            nothing.write.mode("append").parquet(path)
+    stream = E.read_stream(spark, path, events.schema, max_files=files)
     return E.with_event_time(stream)
 
 

@@ -187,3 +187,26 @@ def test_scored_stream_of_requests_needs_no_state(spark, tmp_path, sf):
     scored = spark.read.parquet(out)
     assert scored.count() == items.count()
     assert scored.agg(F.countDistinct("prediction")).first()[0] <= 4
+
+
+def test_the_event_feed_is_three_batches_however_many_files(spark, tmp_path):
+    """A table of many files: no batch ends inside a third, so no row is late."""
+    from checks import stream_checks
+
+    rows = [(i, START.replace(tzinfo=None) + timedelta(hours=i), i % 3, "ab"[i % 2], 1.0, "{}") for i in range(720)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                                         "value double, props string")
+    for k in range(5):  # some files lie in one third alone
+        (events.where(F.col("event_id") % 10 == k if k < 3 else (F.col("event_id") % 10 >= 3)
+                      & ((F.col("event_id") < 400) == (k == 3)))
+         .coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        out = stream_checks.stream_reuse(spark, str(tmp_path))
+        assert out.count() == 720
+        late = stream_checks.stream_late_rows(spark, str(tmp_path))
+        assert late.count() == 240
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
