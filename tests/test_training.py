@@ -108,6 +108,57 @@ def test_linear_search_ignores_the_scale(items):
     assert raw.best == std.best
 
 
+def test_linear_search_reads_the_rows_twice_whatever_the_grid(spark, items, monkeypatch):
+    """The fits see a few rows with the moments of their folds, and come out as on all rows."""
+    train = prepare.assemble(split.assign_folds(items, "id", FX), FX.features).persist()
+    seen = []
+    make = models.make_estimator
+
+    def watched(*args):
+        estimator = make(*args)
+        fit = estimator.fit
+        estimator.fit = lambda rows: (seen.append(rows.count()), fit(rows))[1]
+        return estimator
+
+    with monkeypatch.context() as patched:
+        patched.setattr(models, "make_estimator", watched)
+        found = models.grid_search(train, "LinearRegression", FX)
+    assert len(seen) == 18 and max(seen) == 2 * (len(FX.features) + 1)
+    for i, point in enumerate(found.points):
+        rmse = []
+        for k in range(FX.folds):
+            model = models.make_estimator("LinearRegression", FX, point).fit(train.where(F.col("fold") != k))
+            rmse.append(model.transform(train.where(F.col("fold") == k))
+                        .agg(evaluate.metric("rmse", "y", "prediction")).first()[0])
+        assert abs(found.avg_rmse[i] - np.mean(rmse)) < 1e-11
+    train.unpersist()
+
+
+def test_rows_of_moments():
+    rows = np.random.default_rng(5).normal(size=(500, 3)) @ np.diag([1e-4, 1.0, 1e5]) + [3.0, 0.0, 1e6]
+    rows = np.column_stack([rows, rows[:, 1], np.full(500, 7.0)])  # a repeated and a constant column
+
+    def moments(part):
+        apart = part - part.mean(0)
+        return len(part), part.mean(0), apart.T @ apart
+
+    whole = models.merged_moments([moments(rows[:100]), moments(rows[100:101]), moments(rows[101:])])
+    few, weight = models.rows_of_moments(*whole)
+    assert np.isclose(weight * len(few), 500) and np.allclose(few.mean(0), rows.mean(0), rtol=1e-12)
+    unit = np.where(rows.std(0) > 0, rows.std(0), 1)
+    apart = (few - rows.mean(0)) / unit
+    assert np.allclose(apart.T @ apart / len(few), moments(rows)[2] / 500 / np.outer(unit, unit), atol=1e-9)
+    assert models.merged_moments([(1, np.array([np.nan]), np.array([[0.0]]))]) is None
+
+
+def test_linear_search_on_a_missing_target_is_an_error(spark):
+    spec = JobSpec(features=("x",), target="y")
+    rows = spark.createDataFrame([(float(i), None if i == 7 else 2.0 * i, i % 3) for i in range(30)],
+                                 "x double, y double, fold int")
+    with pytest.raises(Exception, match="(?i)label|null"):
+        models.grid_search(prepare.assemble(rows, ["x"]), "LinearRegression", spec)
+
+
 def test_trees_repeat_with_their_seed(items):
     train = prepare.assemble(items, FX.features)
     fits = [models.make_estimator("RandomForestRegressor", FX, {"numTrees": 3, "maxDepth": 3}).fit(train)
