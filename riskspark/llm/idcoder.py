@@ -49,22 +49,15 @@ def _squash_table() -> np.ndarray:
     return np.clip(np.rint(4096 / (1 + np.exp(-x))), 1, 4000).astype(np.int64)
 
 
-def _next_sure() -> np.ndarray:
-    """The confidence after a miss (first half) and after a hit, by the confidence before."""
-    old = np.arange(SURE)
-    return np.r_[np.where(old > 1, old >> 1, 1), np.minimum(old + 1, SURE - 1)].astype(np.int32)
-
-
-STRETCH, SQUASH, NEXT_SURE = _stretch_table(), _squash_table(), _next_sure()
-# The situations that are told apart: the guesses agree or not, confidence of order 2, of order 1.
-_SITUATION = np.arange(2 * SURE * SURE)
-AGREE, SURE2, SURE1 = _SITUATION >> (2 * SURE_BITS), _SITUATION >> SURE_BITS & SURE - 1, _SITUATION & SURE - 1
+STRETCH, SQUASH = _stretch_table(), _squash_table()
 
 
 class Model:
     """What both sides know about the ids of a block so far.
 
-    A guess and its confidence share one number in the tables of order 1 and 2.
+    A guess and its confidence share one number in the tables of order 1 and 2. A situation is
+    whether the guesses agree, the confidence of order 2 and that of order 1; a slot is one of
+    the three ways out of it: order 2 hit, order 1 hit, neither.
     """
 
     def __init__(self, vocabulary: int, decodes: bool) -> None:
@@ -76,9 +69,12 @@ class Model:
         self.tries = np.full((2, SURE), SURE + 2, np.int64)
         # Weights (1/65536) of the two stretched rates, by whether the guesses agree.
         self.weights = np.array([[40000, 10000], [40000, 40000]], np.int64)
-        self.counts = np.zeros(vocabulary, np.int64)
+        self.raw = np.ones(vocabulary, np.uint64)  # 16 for each id that no guess hit, and 1
+        self.raw_sum = vocabulary
+        self.names = np.arange(vocabulary, dtype=np.uint16 if vocabulary <= 1 << 16 else np.int32)
         self.waiting: list[np.ndarray] = []
-        self.cases, self.cases2, self.cases1 = [], [], []
+        self.slots: list[np.ndarray] = []
+        self.starts, self.sizes = np.zeros((2, 2 * SURE * SURE * 3), U)
         self.step = 0
         self._rebuild()
         self._mix()
@@ -86,51 +82,67 @@ class Model:
     def _rebuild(self) -> None:
         """Order-0 frequencies out of 2^19; every id keeps one at least."""
         if self.waiting:
-            self.counts += np.bincount(np.concatenate(self.waiting), minlength=self.vocabulary)
+            ids = np.concatenate(self.waiting)
+            self.raw += np.bincount(ids, minlength=self.vocabulary).view(U) << U(4)
+            self.raw_sum += 16 * len(ids)
             self.waiting = []
-        raw = self.counts * 16 + 1
-        free = (1 << ORDER0_BITS) - self.vocabulary
-        size = 1 + raw * free // int(raw.sum())
-        size[-1] += (1 << ORDER0_BITS) - int(size.sum())
-        self.size0 = size.astype(np.uint32)
-        self.start0 = (np.cumsum(size) - size).astype(np.uint32)
+        size = self.raw * U((1 << ORDER0_BITS) - self.vocabulary)
+        size //= U(self.raw_sum)
+        size += U(1)
+        ends = np.cumsum(size)
+        starts = (ends - size) << U(32)
+        size[-1] += U(1 << ORDER0_BITS) - ends[-1]
+        self.order0 = starts | size
         if self.decodes:
-            self.id_at = np.repeat(np.arange(self.vocabulary, dtype=np.int32), size)
+            self.id_at = np.repeat(self.names, size.view(np.int64))
+
+    def frequencies(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the order-0 ranges of ids begin and how large they are, out of 2^19."""
+        both = self.order0[ids]
+        return both >> U(32), both & U((1 << 32) - 1)
 
     def _mix(self) -> None:
-        """For every situation the bounds between hit 2, hit 1 and neither, out of 2^12."""
+        """For every situation where its slots begin and how large they are, out of 2^12."""
         rate = np.minimum(self.hits * 4096 // self.tries, 4095)
-        self.st2, self.st1 = STRETCH[rate[0]][SURE2], STRETCH[rate[1]][SURE1]
-        dot = (self.weights[AGREE, 0] * self.st2 + self.weights[AGREE, 1] * self.st1) >> 16
-        self.p2 = SQUASH[np.clip(dot, -2047, 2047) + 2047]
-        share = ((4096 - self.p2) * np.clip(rate[1], 64, 4000)[SURE1]) >> 12
-        share = np.where(AGREE == 1, 0, np.maximum(share, 1))
-        self.bound2, self.bound1 = self.p2.astype(U), (self.p2 + share).astype(U)
-        starts = np.stack([self.p2 * 0, self.p2, self.p2 + share], 1)
-        sizes = np.stack([self.p2, share, 4096 - self.p2 - share], 1)
-        self.starts, self.sizes = starts.reshape(-1).astype(U), sizes.reshape(-1).astype(U)
+        self.stretched = STRETCH[rate]
+        dot = (self.weights[:, :1, None] * self.stretched[0][:, None]
+               + self.weights[:, 1:, None] * self.stretched[1]) >> 16
+        self.p2 = SQUASH[np.minimum(np.maximum(dot, -2047), 2047) + 2047]
+        rest = 4096 - self.p2
+        share = (rest * np.minimum(np.maximum(rate[1], 64), 4000)) >> 12
+        np.maximum(share[0], 1, out=share[0])
+        share[1] = 0
+        starts, sizes = (x.reshape(2, SURE, SURE, 3) for x in (self.starts, self.sizes))
+        starts[..., 1] = sizes[..., 0] = self.p2
+        sizes[..., 1] = share
+        starts[..., 2] = self.p2 + share
+        sizes[..., 2] = rest - share
 
     def predict(self, last: np.ndarray, before: np.ndarray) -> None:
-        """Set the two guesses and each lane's situation."""
+        """Set the two guesses (order 2, order 1) and the first slot of each lane's situation."""
         self.at1 = last
         self.at2 = ((last * 0x2F0B4C47 + before * 0x1F35A3B1) >> 7) & ((1 << TABLE_BITS) - 1)
-        self.entry2, self.entry1 = self.order2[self.at2], self.order1[last]
-        self.guess2, self.guess1 = self.entry2 >> SURE_BITS, self.entry1 >> SURE_BITS
-        self.sure2, self.sure1 = self.entry2 & SURE - 1, self.entry1 & SURE - 1
-        self.case = ((self.guess1 == self.guess2) * np.int32(SURE * SURE)
-                     + (self.sure2 << SURE_BITS) + self.sure1)
-
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray,
+        self.entries = np.empty((2, len(last)), np.int32)
+        self.order2.take(self.at2, out=self.entries[0], mode="clip")
+        self.order1.take(last, out=self.entries[1], mode="clip")
+        self.guesses, self.sure = self.entries >> SURE_BITS, self.entries & SURE - 1
+        agree = self.guesses[0] == self.guesses[1]
+        self.slot = (self.sure[0] * np.int32(3 * SURE) + self.sure[1] * np.int32(3)
+                     + agree * np.int32(3 * SURE * SURE)).astype(np.int64)
+
+    def update(self, ids: np.ndarray, hits: np.ndarray, slots: np.ndarray,
                order0: np.ndarray) -> None:
-        """Learn from the ids of this step; ``order0`` are those that no guess hit."""
-        for at, entry, guess, sure, hit, table in (
-                (self.at2, self.entry2, self.guess2, self.sure2, hit2, self.order2),
-                (self.at1, self.entry1, self.guess1, self.sure1, hit1, self.order1)):
-            now_sure = NEXT_SURE[sure + hit * np.int32(SURE)]
-            table[at] = np.where(hit | (sure > 1), guess, ids) << SURE_BITS | now_sure
-        self.cases.append(self.case)
-        self.cases2.append(self.case[hit2])
-        self.cases1.append(self.case[hit1])
+        """Learn from the ids of this step, the guesses that hit them and the slots they took.
+
+        ``order0`` are the ids that no guess hit. A hit makes a guess surer; a miss halves its
+        confidence, and a guess with none left gives way to the id.
+        """
+        surer = np.minimum(self.entries + 1, self.entries | SURE - 1)
+        less = self.entries - ((self.sure + 1) >> 1)
+        new = np.where(hits, surer, np.where(self.sure > 1, less, ids << SURE_BITS | 1))
+        self.order2[self.at2] = new[0]
+        self.order1[self.at1] = new[1]
+        self.slots.append(slots)
         if len(order0):
             self.waiting.append(order0)
         self.step += 1
@@ -141,20 +153,21 @@ class Model:
 
     def _learn(self) -> None:
         """Move the hit rates and the weights by what happened since the last time."""
-        seen, good2, good1 = (np.bincount(np.concatenate(x), minlength=len(AGREE))
-                              for x in (self.cases, self.cases2, self.cases1))
-        self.cases, self.cases2, self.cases1 = [], [], []
-        for row, (axis, good) in enumerate(((1, good2), (0, good1))):
-            side = seen.reshape(2, SURE, SURE).sum((0, 2) if axis else (0, 1))
-            self.tries[row] += side
-            self.hits[row] += good.reshape(2, SURE, SURE).sum((0, 2) if axis else (0, 1))
+        ways = np.bincount(np.concatenate(self.slots), minlength=len(self.starts)) \
+            .reshape(2, SURE, SURE, 3)
+        self.slots = []
+        seen, good2 = ways.sum(3), ways[..., 0]
+        # Where the guesses agree, a hit is one of both.
+        good1 = ways[0, ..., 1] + ways[1, ..., 0]
+        self.tries[0] += seen.sum((0, 2))
+        self.tries[1] += seen.sum((0, 1))
+        self.hits[0] += good2.sum((0, 2))
+        self.hits[1] += good1.sum(0)
         error = (good2 << 12) - seen * self.p2
-        for agree in (0, 1):
-            mine = slice(agree * SURE * SURE, (agree + 1) * SURE * SURE)
-            n = 8 * max(1, int(seen[mine].sum()))
-            self.weights[agree, 0] += int((error[mine] * self.st2[mine]).sum()) // n
-            self.weights[agree, 1] += int((error[mine] * self.st1[mine]).sum()) // n
-        np.clip(self.weights, -200_000, 200_000, out=self.weights)
+        n = 8 * np.maximum(seen.sum((1, 2)), 1)
+        self.weights[:, 0] += (error.sum(2) @ self.stretched[0]) // n
+        self.weights[:, 1] += (error.sum(1) @ self.stretched[1]) // n
+        self.weights = np.minimum(np.maximum(self.weights, -200_000), 200_000)
         self._mix()
 
 
@@ -170,48 +183,55 @@ class _Lanes:
         low, rng = self.low[:n], self.range[:n]
         settled = (low ^ (low + rng)) < TOP
         lanes = np.flatnonzero(settled | (rng < LOW_LIMIT))
+        low, rng, settled = low[lanes], rng[lanes], settled[lanes]
         while len(lanes):
-            low, rng = self.low[lanes], self.range[lanes]
-            settled = (low ^ (low + rng)) < TOP
             # Too narrow, yet across a border: give up the part beyond the border.
-            rng = np.where(settled, rng, (~low + U(1)) & (LOW_LIMIT - U(1)))
+            across = np.flatnonzero(~settled)
+            rng[across] = (~low[across] + U(1)) & (LOW_LIMIT - U(1))
             self.shift(lanes, low)
             low, rng = low << U(16), rng << U(16)
             self.low[lanes], self.range[lanes] = low, rng
-            lanes = lanes[((low ^ (low + rng)) < TOP) | (rng < LOW_LIMIT)]
+            settled = (low ^ (low + rng)) < TOP
+            more = np.flatnonzero(settled | (rng < LOW_LIMIT))
+            lanes, low, rng, settled = lanes[more], low[more], rng[more], settled[more]
 
 
 class _Writer(_Lanes):
     def __init__(self, lanes: int, ids: int) -> None:
         super().__init__(lanes)
-        self.words = np.zeros((lanes, 4 * ids + 8), "<u2")
-        self.used = np.zeros(lanes, np.int64)
+        # A row holds one word of every lane: lanes fill at about one pace, so few rows are in use.
+        self.words = np.zeros((4 * ids + 8, lanes), "<u2")
+        self.flat, self.at = self.words.reshape(-1), np.arange(lanes)
 
     def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
-        self.words[lanes, self.used[lanes]] = low >> U(48)
-        self.used[lanes] += 1
+        at = self.at[lanes]
+        self.flat[at] = low >> U(48)
+        self.at[lanes] = at + len(self.low)
 
     def finish(self) -> bytes:
         every = np.arange(len(self.low))
         for k in (0, 16, 32, 48):
             self.shift(every, self.low << U(k))
-        taken = np.arange(self.words.shape[1]) < self.used[:, None]
-        return self.used.astype("<u4").tobytes() + self.words[taken].tobytes()
+        used = self.at // len(self.low)
+        words = np.ascontiguousarray(self.words[:used.max()].T)
+        return used.astype("<u4").tobytes() + words[np.arange(words.shape[1]) < used[:, None]].tobytes()
 
 
 class _Reader(_Lanes):
+    """``above`` is how far the code lies above ``low``."""
+
     def __init__(self, lanes: int, data: bytes) -> None:
         super().__init__(lanes)
         used = np.frombuffer(data, "<u4", lanes).astype(np.int64)
-        self.words = np.frombuffer(data, "<u2", offset=4 * lanes).astype(U)
+        self.words = np.frombuffer(data, "<u2", offset=4 * lanes)
         self.at = np.cumsum(used) - used
-        self.code = np.zeros(lanes, U)
+        self.above = np.zeros(lanes, U)
         for _ in range(4):
             self.shift(np.arange(lanes), self.low)
 
     def shift(self, lanes: np.ndarray, low: np.ndarray) -> None:
         at = self.at[lanes]
-        self.code[lanes] = (self.code[lanes] << U(16)) | self.words[at]
+        self.above[lanes] = (self.above[lanes] << U(16)) | self.words[at]
         self.at[lanes] = at + 1
 
 
@@ -242,19 +262,21 @@ def encode_block(ids: np.ndarray, vocabulary: int) -> bytes:
             n = lanes if step < short else lanes - 1
             now = grid[step, :n]
             model.predict(last[:n], before[:n])
-            hit2, hit1 = now == model.guess2, now == model.guess1
-            mode = np.where(hit2, 0, 2 - hit1)
-            slot = model.case * 3 + mode
+            hits = model.guesses == now
+            # A way out of the situation: 0, 1 or 2 for order 2, order 1 or neither.
+            way = 2 - np.maximum(hits[0].view(np.int8) << 1, hits[1].view(np.int8))
+            slot = model.slot + way
             unit = coder.range[:n] >> U(MODE_BITS)
-            coder.low[:n] += unit * model.starts[slot]
-            coder.range[:n] = unit * model.sizes[slot]
-            plain = np.flatnonzero(mode == 2)
-            rest = now[plain]
+            coder.low[:n] += unit * model.starts.take(slot)
+            np.multiply(unit, model.sizes.take(slot), out=coder.range[:n])
+            plain = np.flatnonzero(way == 2)
+            rest = now[plain].astype(np.int64)
             unit = coder.range[plain] >> U(ORDER0_BITS)
-            coder.low[plain] += unit * model.start0[rest]
-            coder.range[plain] = unit * model.size0[rest]
+            start, size = model.frequencies(rest)
+            coder.low[plain] += unit * start
+            coder.range[plain] = unit * size
             coder.settle(n)
-            model.update(now, hit2, hit1, rest)
+            model.update(now, hits, slot, rest)
             last, before = now.astype(np.int64), last
         body = coder.finish()
     head = HEADER.pack(MAGIC, len(ids), vocabulary, lanes, zlib.crc32(ids.astype("<u4").tobytes()))
@@ -280,23 +302,28 @@ def decode_block(data: bytes) -> np.ndarray:
     for step in range(length):
         n = lanes if step < short else lanes - 1
         model.predict(last[:n], before[:n])
-        above = coder.code[:n] - coder.low[:n]
-        unit = coder.range[:n] >> U(MODE_BITS)
-        mode = ((above >= unit * model.bound2[model.case]).view(np.int8)
-                + (above >= unit * model.bound1[model.case]))
-        slot = model.case * 3 + mode
-        coder.low[:n] += unit * model.starts[slot]
-        coder.range[:n] = unit * model.sizes[slot]
-        now = np.where(mode == 0, model.guess2, model.guess1)
-        plain = np.flatnonzero(mode == 2)
+        above, unit = coder.above[:n], coder.range[:n] >> U(MODE_BITS)
+        way = ((above >= unit * model.starts[1:].take(model.slot)).view(np.int8)
+               + (above >= unit * model.starts[2:].take(model.slot)))
+        slot = model.slot + way
+        begun = unit * model.starts.take(slot)
+        coder.low[:n] += begun
+        above -= begun
+        np.multiply(unit, model.sizes.take(slot), out=coder.range[:n])
+        now = np.where(way == 0, model.guesses[0], model.guesses[1])
+        plain = np.flatnonzero(way == 2)
         unit = coder.range[plain] >> U(ORDER0_BITS)
-        target = (coder.code[plain] - coder.low[plain]) // unit
-        rest = model.id_at[np.minimum(target, U((1 << ORDER0_BITS) - 1))]
-        coder.low[plain] += unit * model.start0[rest]
-        coder.range[plain] = unit * model.size0[rest]
+        above = coder.above[plain]
+        target = np.minimum(above // unit, U((1 << ORDER0_BITS) - 1)).view(np.int64)
+        rest = model.id_at[target].astype(np.int64)
+        start, size = model.frequencies(rest)
+        begun = unit * start
+        coder.low[plain] += begun
+        coder.above[plain] = above - begun
+        coder.range[plain] = unit * size
         now[plain] = rest
         coder.settle(n)
-        model.update(now, now == model.guess2, now == model.guess1, rest)
+        model.update(now, model.guesses == now, slot, rest)
         grid[step, :n] = now
         last, before = now.astype(np.int64), last
     ids = grid.T.reshape(-1)[:count]

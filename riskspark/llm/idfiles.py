@@ -50,6 +50,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
         file, encode, block = TaskContext.get().partitionId(), encoder(tokenizer), 0
         vocabulary = max(encode.size, end_id + 1)
         kind_of_id = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+        end = np.array([end_id], kind_of_id)
         owners, streams, lengths, waiting, earlier = [], [], [], 0, 0
 
         def close() -> pa.RecordBatch:
@@ -60,15 +61,13 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
 
         for batch in parts(batches, ENCODE_ROWS, ENCODE_BYTES):
             every, ends = encode.encode_ragged(batch.column(1))
-            # The end id goes behind every document's own ids.
-            every = np.insert(every.astype(kind_of_id), ends[1:], end_id)
-            ends = ends + np.arange(len(ends))
+            every = every.astype(kind_of_id, copy=False)
             for owner, a, b in zip(batch.column(0).to_pylist(), ends[:-1].tolist(),
                                    ends[1:].tolist(), strict=True):
                 owners.append(owner)
-                streams.append(every[a:b])
-                lengths.append(b - a)
-                waiting += b - a
+                streams += [every[a:b], end]
+                lengths.append(b - a + 1)
+                waiting += b - a + 1
                 if waiting >= block_ids:
                     yield close()
                     earlier += waiting

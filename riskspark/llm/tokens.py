@@ -39,6 +39,10 @@ class Words(dict):
 
 #: How byte-level tokenizers of this kind cut a text into pieces, as published with them.
 PIECES = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters that no version of Unicode in use moves between letters, numbers and the rest, as a
+#: class of a regular expression: ASCII, Latin, Greek, Cyrillic, punctuation, kana, CJK, Hangul.
+SETTLED = ("\x00-\x7F\u00A1-\u024F\u0384-\u03FF\u0400-\u0513\u2010-\u2027\u2030-\u205E\u3041-\u3096"
+           "\u3099-\u30FF\u4E00-\u9FA5\uAC00-\uD7A3")
 
 
 def _byte_characters() -> dict[str, int]:
@@ -65,10 +69,10 @@ class Encoder:
     every distinct word of a part needs encoding only once. Texts with other white-space runs,
     and tokenizers of another kind, go to the library whole.
 
-    Distinct words of ASCII without special strings are merged by tiktoken from the ranks of
-    the same file, many words in one call; that is the same rule and gives the same ids (only
-    where ranks follow the order of the merges; else the library does all). Other words, the
-    first word of a text and what follows its last word go to the library itself.
+    Distinct words of ``SETTLED`` characters without special strings are merged by tiktoken from
+    the ranks of the same file, many words in one call; that is the same rule and gives the same
+    ids (only where ranks follow the order of the merges; else the library does all). Other words,
+    the first word of a text and what follows its last word go to the library itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -90,7 +94,8 @@ class Encoder:
                      and spec["post_processor"] is None
                      and not any(a["lstrip"] or a["rstrip"] or a["single_word"]
                                  or any(c in a["content"] for c in SPACES) for a in added))
-        self.special = [a["content"] for a in added]
+        self.special_ids = {a["content"]: a["id"] for a in added}
+        self.special = list(self.special_ids)
         own = {a["content"]: len(a["content"].encode()) for a in added}
         self.bytes_of = np.zeros(self.size, np.int64)
         for token, i in vocab.items():
@@ -108,7 +113,9 @@ class Encoder:
         if (made != sorted(set(made)) or len(ranks) != len(made) + 256
                 or model.get("ignore_merges") or model.get("dropout")):
             return None
-        return tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+        # With no special string to look for, it would look at every place of a text for the empty one.
+        return tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks,
+                                 special_tokens=self.special_ids)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -121,22 +128,23 @@ class Encoder:
         every = pc.binary_join(pa.ListArray.from_arrays(
             pa.array([0, len(spaced)], pa.int32()), spaced.cast(pa.string())), "")[0].as_buffer() \
             if len(spaced) else b""
-        found, sizes, begun = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        found, sizes, begun = [np.zeros(0, self.type)], [np.zeros(0, np.int64)], 0
         for at in range(0, len(words), CALL_WORDS):
             upto = ends[min(at + CALL_WORDS, len(words)) - 1]
-            ids = encode(bytes(every[begun:upto]).decode()).astype(np.int64)
+            ids = encode(bytes(every[begun:upto]).decode())
             reached = np.cumsum(self.bytes_of[ids]) + begun
             last = np.searchsorted(reached, ends[at:at + CALL_WORDS])
             if last[-1] >= len(ids) or (reached[last] != ends[at:at + CALL_WORDS]).any():
                 raise ValueError("the tokenizer's pieces do not end where the words do")
-            found.append(ids)
+            found.append(ids.astype(self.type))
             sizes.append(np.diff(last + 1, prepend=0))
             begun = upto
         return np.concatenate(found), np.concatenate(sizes)
 
     def _table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words as a ragged array: ids and bounds, in the words' order."""
-        plain = pc.string_is_ascii(words) if self.ranked else pa.array(np.zeros(len(words), bool))
+        plain = pc.or_(pc.string_is_ascii(words), pc.invert(pc.match_substring_regex(words, f"[^{SETTLED}]"))) \
+            if self.ranked else pa.array(np.zeros(len(words), bool))
         for mark in self.special:
             plain = pc.and_not(plain, pc.match_substring(words, mark))
         plain = plain.to_numpy(zero_copy_only=False).astype(bool)
@@ -180,7 +188,7 @@ class Encoder:
                                             body.take(pa.array(ended)).to_pylist(), strict=True)]
         more = self._whole(first.dictionary.to_pylist() + tails)
         sizes = np.array([len(m) for m in more], np.int64)
-        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(more), np.int64, int(sizes.sum()))])
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(more), self.type, int(sizes.sum()))])
         known = len(bounds) - 1
         bounds = np.concatenate([bounds, bounds[-1] + np.cumsum(sizes)])
         rows = np.empty(len(flat), np.int64)
@@ -191,7 +199,7 @@ class Encoder:
         pieces[ended] += 1
         ids, sizes = _gather(ids, bounds, rows)
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(pieces)])]
-        return ids.astype(self.type), ends
+        return ids, ends
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian bytes."""

@@ -1,6 +1,8 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,7 +11,7 @@ from tokenizers import Tokenizer
 from riskspark.llm import tokencount
 from riskspark.llm.idcoder import decode_block, encode_block
 from riskspark.llm.idfiles import read_ids, write_ids
-from riskspark.llm.tokens import Encoder, public_path
+from riskspark.llm.tokens import SETTLED, SPACES, Encoder, public_path
 from riskspark.session import work_path
 
 BYTES, WORDS = public_path("byte_bpe_50k.json"), public_path("word_bpe_49k.json")
@@ -59,6 +61,27 @@ def test_memory_starts_anew(monkeypatch, documents):
             len(e.ids) for e in counter.library.encode_batch(texts[at:at + 3], add_special_tokens=False)]
 
 
+def test_words_of_settled_characters_do_not_go_to_the_library(monkeypatch):
+    texts = ["Où l'été naïf où où", "Ça dépend de où.\nÉté", "Привет мир 你好 ñandú", "x <|endoftext|>é 😀é où"]
+    want = [e.ids for e in ENCODER.library.encode_batch(texts, add_special_tokens=False)]
+    asked, whole = [], ENCODER._whole
+    monkeypatch.setattr(ENCODER, "_whole", lambda items: asked.extend(items) or whole(items))
+    assert [np.frombuffer(x, "<u2").tolist() for x in ENCODER.encode(texts)] == want
+    # The first words, and what holds a special string or another character.
+    assert sorted(asked) == sorted(["Où", "Ça", "Привет", "x", " <|endoftext|>é 😀é"])
+    # Without a special string to look for, tiktoken stops at every character.
+    assert ENCODER.ranked.special_tokens_set == {"<|endoftext|>"}
+
+
+def test_settled_characters_are_cut_as_the_library_does():
+    every = pa.array([chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000])
+    settled = every.filter(pc.match_substring_regex(every, f"^[{SETTLED}]$")).to_pylist()
+    assert {"\x00", "a", "ÿ", "ж", "你", "한"} <= set(settled) and "😀" not in settled and "\u2028" not in settled
+    texts = [" a{0}b1{0}2!{0}?{0}{0}'s".format(c) for c in settled if c not in SPACES]
+    want = [e.ids for e in ENCODER.library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [ENCODER.ranked.encode_ordinary(t) for t in texts] == want
+
+
 def test_counts_of_documents(documents, library):
     rows = documents.collect()
     want = {r.doc_id: len(e.ids) for r, e in zip(rows, library[WORDS].encode_batch(
@@ -97,6 +120,20 @@ def test_repeats_cost_little_and_damage_is_found():
         encode_block(np.array([5]), 5)
 
 
+N = np.arange(200_001)
+
+
+@pytest.mark.parametrize("ids, high, size, crc", [
+    (N * N // 7 % 997 * (N % 3 + 1), 50_257, 60851, 1201414400),
+    (N % 200, 50_257, 18711, 835367678),
+    (N[:700] ** 2 % 251, 1 << 18, 607, 28949692),
+    (N[:0], 1, 25, 558161692)])
+def test_blocks_are_byte_for_byte_what_they_were(ids, high, size, crc):
+    block = encode_block(ids, high)
+    assert (len(block), zlib.crc32(block)) == (size, crc)
+    assert (decode_block(block) == ids).all()
+
+
 def expected(pairs, library):
     out = []
     for doc_id, text in pairs:
