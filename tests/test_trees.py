@@ -183,6 +183,14 @@ def test_a_tournament_keeps_no_rows_in_the_cache(spark, rows, tmp_path, monkeypa
                     result.searches[name].points[result.searches[name].best]["maxDepth"])
 
 
+@pytest.mark.parametrize("part", ["train", "test"])
+def test_a_missing_feature_of_either_split_is_an_error(rows, part):
+    spec = replace(SPEC, grids={"DecisionTreeRegressor": {"maxDepth": (2,)}})
+    holes = rows.withColumn("b", F.when((F.col("split") != part) | (F.col("b") < 1.0), F.col("b")))
+    with pytest.raises(Exception, match="(?i)null"):
+        training.tournament(holes.select(*SPEC.kept, "split", "fold"), spec)
+
+
 def test_a_tournament_leaves_no_work_tables(spark, rows):
     from riskspark.session import shared_dir
 
